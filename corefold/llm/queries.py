@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import licenses, quality, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest columns of every document; the spans stay with the operator."""
+    return licenses.scan(_read(spark, sf_dir, "documents")).drop("matches")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op8_licenses": op8_licenses,
+    "op9_quality": op9_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
