@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licenses, quality, simhash
+from . import licenses, quality, simhash, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.dedup_table(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The digest columns of every document; the spans stay with the operator."""
     return licenses.scan(_read(spark, sf_dir, "documents")).drop("matches")
@@ -28,6 +34,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_passages": op3_passages,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
 }
