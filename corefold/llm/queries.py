@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, quality, simhash, substring
+from . import licenses, quality, simhash, spotsigs, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,11 +32,16 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compared(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_passages": op3_passages,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
+    "op10_spotsigs": op10_spotsigs,
 }
 
 ORACLE_SQL: dict[str, str] = {}
