@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, quality, simhash, spotsigs, substring
+from . import licenses, pii, quality, simhash, spotsigs, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_read(spark, sf_dir, "documents"))
+
+
 def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.dedup_table(_read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -38,6 +42,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_pseudonyms": op2_pseudonyms,
     "op3_passages": op3_passages,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
