@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, linededup, pii, quality, simhash, spotsigs, substring
+from . import licenses, linededup, packing, pii, quality, simhash, spotsigs, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_read(spark, sf_dir, "documents"))
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), F.char_length("text").cast("long").alias("n_kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_pseudonyms": op2_pseudonyms,
     "op3_passages": op3_passages,
+    "op5_packing": op5_packing,
     "op7_lines": op7_lines,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
