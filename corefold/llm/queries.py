@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, linededup, packing, pii, quality, simhash, spotsigs, substring
+from . import licenses, linededup, packing, pii, quality, sentencepieces, simhash, spotsigs, substring
+
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +33,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_read(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sentencepieces.encoded(_read(spark, sf_dir, "documents"), sentencepieces.read_model(TOKENIZER))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_bytes", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "parity", "round_trip")
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), F.char_length("text").cast("long").alias("n_kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
@@ -54,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pseudonyms": op2_pseudonyms,
     "op3_passages": op3_passages,
     "op5_packing": op5_packing,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_lines": op7_lines,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
