@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, linededup, packing, pii, quality, sentencepieces, simhash, spotsigs, substring
+from . import html, licenses, linededup, packing, pii, quality, sentencepieces, simhash, spotsigs, substring
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -29,6 +29,10 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_read(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_read(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_pseudonyms": op2_pseudonyms,
     "op3_passages": op3_passages,
+    "op4_pages": op4_pages,
     "op5_packing": op5_packing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_lines": op7_lines,
