@@ -63,23 +63,36 @@ def fingerprints(docs: DataFrame, text: str = "text", size: int = SHINGLE, seed:
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """Verified links ``(a, b)``, a > b, between the representatives ``rep`` of distinct fingerprints ``fp``; enough to connect all within two bits."""
+    """Verified links ``(a, b)`` between the distinct fingerprints ``fp``; enough to connect all within two bits."""
     variants = F.array(F.lit(0).cast("long"), *[F.expr(f"shiftleft(1L, {i})") for i in range(BITS)])
-    emitted = fps.select("fp", "rep", F.explode(variants).alias("flip")).select(F.expr("fp ^ flip").alias("variant"), F.struct("rep", "fp").alias("m"))
+    emitted = fps.select("fp", F.explode(variants).alias("flip")).select(F.expr("fp ^ flip").alias("variant"), "fp")
     # 65 members at most share a variant: all differ from it by one bit at most.
-    met = emitted.groupBy("variant").agg(F.sort_array(F.collect_list("m")).alias("ms")).where(F.size("ms") > 1)
-    pairs = met.select(F.col("ms")[0].alias("low"), F.explode(F.expr("slice(ms, 2, size(ms) - 1)")).alias("high"))
-    return pairs.where(F.bit_count(F.col("low.fp").bitwiseXOR(F.col("high.fp"))) <= RADIUS).select(F.col("high.rep").alias("a"), F.col("low.rep").alias("b")).distinct()
+    met = emitted.groupBy("variant").agg(F.sort_array(F.collect_list("fp")).alias("ms")).where(F.size("ms") > 1)
+    pairs = met.select(F.col("ms")[0].alias("b"), F.explode(F.expr("slice(ms, 2, size(ms) - 1)")).alias("a"))
+    return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """One row per input row: ``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (the smallest doc_id that is reachable).
 
-    Rows with a null id take part with their fingerprint but can't name a group: their component_id is that of rows
-    which have the same fingerprint and an id, else null. Rows without words have fingerprint 0 and link like others.
+    Rows with a null id take part with their fingerprint but don't name a group; component_id is null where no row of the group has an
+    id. Rows without words have fingerprint 0 and link like others.
     """
     base, _ = scratch.table(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", size, seed), "simhash-fp")
-    reps, _ = scratch.table(base.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"), "simhash-rep")
+    return base.join(_groups(base), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _groups(base: DataFrame) -> DataFrame:
+    """``(fp, component, component_id)`` of the distinct fingerprints: their group's smallest fingerprint and smallest doc_id."""
+    reps, _ = scratch.table(base.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-rep")
     found = graph.components(links(reps))
-    named = reps.join(found, reps.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return base.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = reps.join(found, reps.fp == found.node, "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
+    return named.drop("rep").join(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` (with ``doc_id`` and ``text``) with one row of each near-duplicate group: that with the smallest id, nulls last; of equals one."""
+    keyed = docs.select("*", F.xxhash64("doc_id", "text").alias("__k1"), F.xxhash64("text", "doc_id").alias("__k2"))
+    base, _ = scratch.table(fingerprints(keyed, keep=("doc_id", "__k1", "__k2")), "simhash-fp")
+    first = base.join(_groups(base), "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__k1", "__k2")).alias("r"))
+    return keyed.join(first.select("r.__k1", "r.__k2"), ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
