@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -27,10 +27,10 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 ... base**(n-1) modulo 2**64, at least."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        full = np.full(max(n, 1 << 21), base, np.uint64)
-        full[0] = 1
-        have = np.cumprod(full, dtype=np.uint64)
-        if len(have) <= 1 << 24:
+        have = np.full(max(n, 2 * SLICE_BYTES), base, np.uint64)
+        have[0] = 1
+        np.cumprod(have, out=have)
+        if len(have) <= 4 * SLICE_BYTES:  # those of a very long text aren't kept
             _powers[base] = have
     return have[:n]
 
@@ -87,6 +87,8 @@ def slices(texts: pa.Array, budget: int = SLICE_BYTES) -> Iterator[tuple[int, in
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + budget, "right")) - 1)
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+    del data, offsets, texts
+    pa.default_memory_pool().release_unused()
 
 
 def words(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
