@@ -27,8 +27,9 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 BATCH_BYTES = 1 << 20
-MOST_WORDS = 200_000  # of the words whose ids a worker keeps
+MOST_WORDS = 500_000  # of the words whose ids a worker keeps
 THREADS = 2
+RUN = 500  # words that are verified as one text
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -144,7 +145,10 @@ class Codec:
         plain = not (m.charsmap or m.remove_extra_spaces or m.suffix_space) and m.dummy_prefix and m.escape_spaces
         #: Whether a text's ids are those of its words in a row: no normalising, and no piece that reaches over a space.
         self.by_word = m.kind == BPE and plain and not any(MARK in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER))
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        #: Words whose ids differ from the sentencepiece library's, and words that don't decode to themselves.
+        self.unlike: set[str] = set()
+        self.lossy: set[str] = set()
         if parity:
             try:
                 import sentencepiece
@@ -154,21 +158,53 @@ class Codec:
                 pass
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(texts)
+        return [ids for ids, _, _ in self.verified(texts, False)]
+
+    def verified(self, texts: list[str], verify: bool = True) -> list[tuple[np.ndarray, bool | None, bool | None]]:
+        """(ids, parity, round trip) of each text.
+
+        Where ids go by words, each distinct word is encoded and verified once, and a text's verdict is that of its words; other texts
+        are verified as a whole.
+        """
+        out: list = [None] * len(texts)
         split = [(i, t.split(" ")) for i, t in enumerate(texts) if self.by_word and t and "  " not in t and t[0] != " " and t[-1] != " " and MARK not in t]
         if split:
             new = list(set(chain.from_iterable(w for _, w in split)).difference(self.known))
-            self.known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+            listed = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            ends = np.cumsum([len(x) for x in listed])
+            flat = np.fromiter(chain.from_iterable(listed), np.int32)
+            raw, at = flat.tobytes(), (4 * ends).tolist()
+            self.known.update(zip(new, (raw[i:j] for i, j in zip([0, *at], at))))
+            if verify:
+                self._verify(new, flat, ends)
             get = self.known.__getitem__
             for i, found in split:
-                out[i] = np.fromiter(chain.from_iterable(map(get, found)), np.int32)
+                array = np.frombuffer(b"".join(map(get, found)), np.int32)
+                out[i] = (array, *((None if self.other is None else self.unlike.isdisjoint(found), self.lossy.isdisjoint(found)) if verify else (None, None)))
             if len(self.known) > MOST_WORDS:
                 self.known.clear()
         rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, np.int32)
+        whole = [texts[i] for i in rest]
+        ids = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+        parity = self.same(whole, ids) if verify else [None] * len(ids)
+        back = [x == t.replace(MARK, " ") for x, t in zip(self.decode(ids), whole)] if verify else [None] * len(ids)
+        for i, *verdict in zip(rest, ids, parity, back):
+            out[i] = tuple(verdict)
         return out
 
+    def _verify(self, found: list[str], flat: np.ndarray, ends: np.ndarray) -> None:
+        """Note the words that fail. Runs of words are verified as one text, which also shows that ids go by words; in a run that differs, each word is."""
+        for lo in range(0, len(found), RUN):
+            part = found[lo : lo + RUN]
+            cuts = ends[lo : lo + len(part)]
+            first = ends[lo - 1] if lo else 0
+            ids, text = flat[first : cuts[-1]], " ".join(part)
+            single = lambda: np.split(ids, cuts[:-1] - first)
+            if self.other is not None and not np.array_equal(self.other.encode(text, num_threads=1), ids):
+                self.unlike.update([w for w, ok in zip(part, self.same(part, single())) if not ok] or part)
+            if self.decode([ids])[0] != text:
+                self.lossy.update([w for w, back in zip(part, self.decode(single())) if back != w] or part)
+
     def decode(self, ids: list) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
@@ -176,7 +212,7 @@ class Codec:
         """Whether the sentencepiece library gives the same ids; None where it is absent."""
         if self.other is None:
             return [None] * len(texts)
-        return [np.array_equal(np.array(a, np.int32), b) for a, b in zip(self.other.encode(texts, num_threads=THREADS), ids)]
+        return [a == b.tolist() for a, b in zip(self.other.encode(texts, num_threads=THREADS), ids)]
 
 
 def read_model(path: str) -> bytes:
@@ -187,8 +223,8 @@ def read_model(path: str) -> bytes:
 def encoded(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str, ...] = ("doc_id",), verify: bool = True) -> DataFrame:
     """The columns ``keep`` and ``ids`` (array of int), ``n_bytes`` (ids that stand for single bytes), ``parity`` and ``round_trip``.
 
-    ``verify`` compares each text's ids with the sentencepiece library's, and its decoded ids with the text itself; else both are null. Null texts count as
-    empty. A text that holds the marker character decodes to a space there, as the format has it.
+    ``verify`` compares ids with the sentencepiece library's, and decoded ids with the text itself, as ``Codec.verified`` says; else both are null. Null texts
+    count as empty. A text that holds the marker character decodes to a space there, as the format has it.
     """
     schema = docs.select(*keep).schema.add("ids", DataType.fromDDL("array<int>")).add("n_bytes", "long").add("parity", "boolean").add("round_trip", "boolean")
 
@@ -199,10 +235,8 @@ def encoded(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str,
         for b in batches:
             for at, to, _, _ in textvec.slices(b.column(0), BATCH_BYTES):
                 texts = [t or "" for t in b.column(0).slice(at, to - at).to_pylist()]
-                ids = codec.encode(texts)
+                ids, parity, back = zip(*codec.verified(texts, verify))
                 n_bytes = [int(is_byte[x].sum()) for x in ids]
-                parity = codec.same(texts, ids) if verify else [None] * len(ids)
-                back = [x == t.replace(MARK, " ") for x, t in zip(codec.decode(ids), texts)] if verify else [None] * len(ids)
                 lengths = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 array = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
                 more = [array, pa.array(n_bytes, pa.int64()), pa.array(parity, pa.bool_()), pa.array(back, pa.bool_())]

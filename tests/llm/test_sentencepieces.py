@@ -35,6 +35,20 @@ def test_parity_and_round_trip_on_odd_texts(spark, data):
     assert any(r.n_bytes for r in got)
 
 
+def test_ids_by_words_are_those_of_whole_texts(data):
+    pytest.importorskip("sentencepiece")
+    rng = random.Random(5)
+    words = ["the", "cat\nsat", "é", "日本", "😀", "\t", "x\x00y", "aaaa", "Straße,", "ing", "<s>"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(300)]
+    codec = sp.Codec(data)
+    found = codec.verified(texts)
+    assert codec.by_word and not codec.unlike and not codec.lossy and all(p and r for _, p, r in found)
+    assert all(codec.same(texts, [ids for ids, _, _ in found]))
+    assert codec.decode([ids for ids, _, _ in found]) == texts
+    codec.known["the"] = codec.known["ing"]
+    assert not all(codec.same(["the cat"], codec.encode(["the cat"])))
+
+
 def _field(number, value):
     if isinstance(value, bytes):
         return bytes([number << 3 | 2]) + _number(len(value)) + value
