@@ -22,6 +22,7 @@ CHAIN = 2
 SIMILARITY = 0.8
 ROWS_PER_BLOCK = 2000
 MOST_CUTS = 1000
+MOST_BLOCKS = 100_000  # what names their first ids fits a broadcast
 
 
 def words(text: str | Column) -> Column:
@@ -69,14 +70,14 @@ def likeness(a: str, b: str) -> Column:
 def with_next(docs: DataFrame, derive=None, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """``doc_id, text`` (null: empty) with its successor by ascending id as the struct ``next``; the first follows the last.
 
-    Rows are dealt to blocks of neighbouring ids: approximate quantiles of the ids (``MOST_CUTS`` at most), each cut evenly by value. A
+    Rows are dealt to blocks of neighbouring ids: approximate quantiles of the ids (``MOST_CUTS`` at most), each cut evenly by value, ``MOST_BLOCKS`` in all or twice that at most. A
     block also gets a copy of the row that follows it. Null ids come first; rows that repeat an id are in the order of their
     texts. ``derive`` may add columns to a row, once and before its successor's are taken over.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = docs.select("doc_id")
     n_rows, low, high = ids.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
-    blocks = max(1, -(-n_rows // rows_per_block))
+    blocks = min(max(1, -(-n_rows // rows_per_block)), MOST_BLOCKS)
     cuts: list[int] = []
     if blocks > 1 and low is not None:
         n = min(blocks, MOST_CUTS)
@@ -85,7 +86,8 @@ def with_next(docs: DataFrame, derive=None, rows_per_block: int = ROWS_PER_BLOCK
     block = _block(F.col("doc_id"), cuts, low, high, within)
     order = Window.orderBy("block")
     firsts = ids.select(block.alias("block"), "doc_id").groupBy("block").agg(F.min("doc_id").alias("doc_id"))
-    follows = firsts.withColumn("block", F.lag("block").over(order)).where("block IS NOT NULL")
+    # One row for each block: twice MOST_BLOCKS at most, since each of the cuts' ranges has the same number of blocks.
+    follows = F.broadcast(firsts.withColumn("block", F.lag("block").over(order)).where("block IS NOT NULL"))
     top = docs.orderBy(F.asc_nulls_first("doc_id"), "text").limit(1)
     last = firsts.agg(F.max("block").alias("block"))
     rows = (
