@@ -94,9 +94,9 @@ class Index:
         self.spark, self.path, self.runs = spark, path.rstrip("/"), []
 
     def append(self, entries: DataFrame) -> DataFrame:
-        """Write a run, sorted by anchor; returns it."""
+        """Write a run of files sorted by anchor; returns it. A frequent anchor's entries go to many files."""
         run = f"{self.path}/run-{len(self.runs):05d}"
-        entries.sort("anchor").write.option("compression", "zstd").parquet(run)
+        entries.repartition("anchor", "doc_id").sortWithinPartitions("anchor").write.option("compression", "zstd").parquet(run)
         self.runs.append(run)
         return self.spark.read.schema(RUN_SCHEMA).parquet(run)
 
@@ -110,7 +110,7 @@ class Index:
         whole = f"{self.path}/compact-{len(self.runs):05d}"
         rest = [c for c in self.read().columns if c not in ("anchor", "sig", "sig2", "before", "len")]
         kept = self.read().groupBy("anchor", "sig", "sig2", "before", "len").agg(F.min(F.struct(*rest)).alias("e"))
-        kept.select("anchor", "sig", "sig2", "e.doc_id", "e.text_key", "e.at", "before", "len").sort("anchor").write.option("compression", "zstd").parquet(whole)
+        kept.select("anchor", "sig", "sig2", "e.doc_id", "e.text_key", "e.at", "before", "len").repartition("anchor", "doc_id").sortWithinPartitions("anchor").write.option("compression", "zstd").parquet(whole)
         for run in self.runs:
             scratch.delete(self.spark, run)
         self.runs = [whole]
