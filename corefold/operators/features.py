@@ -135,7 +135,7 @@ def describe(df: DataFrame, label: str = "label", names: list[str] | None = None
         aggs.append(
             F.struct(
                 F.lit(n).alias("feature"), F.round(F.avg(n), 6).alias("mean"), F.round(F.stddev_samp(n), 6).alias("std"), F.min(n).alias("min"), F.percentile(n, F.lit(0.5)).alias("p50"),
-                F.max(n).alias("max"), F.when((F.stddev_samp(n) > 0) & (F.stddev_samp(label) > 0), F.round(F.corr(n, label), 6)).alias("corr"),
+                F.max(n).alias("max"), F.when((F.stddev_samp(n) > 0) & (F.stddev_samp(label) > 0), F.round(F.covar_samp(n, label) / (F.stddev_samp(n) * F.stddev_samp(label)), 6)).alias("corr"),
             )
         )
     return df.agg(F.array(*aggs).alias("all")).select(F.explode("all").alias("x")).select("x.*")
