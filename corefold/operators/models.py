@@ -35,11 +35,11 @@ def pipeline(kind: str, names: list[str] = NAMES, n_rows: int | None = None, see
     common = {"featuresCol": "raw", "labelCol": "label"}
     if kind.startswith("logistic"):
         stages.append(StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True))
-        model = LogisticRegression(featuresCol="scaled", labelCol="label", maxIter=1000, regParam=1.0 / max(n_rows or 1, 1), standardization=False)
+        model = LogisticRegression(featuresCol="scaled", labelCol="label", maxIter=50 if quick else 1000, regParam=1.0 / max(n_rows or 1, 1), standardization=False)
     elif kind == "gbt":
-        model = GBTClassifier(**common, maxIter=10 if quick else 150, stepSize=0.08, maxDepth=5, minInstancesPerNode=20, seed=seed)
+        model = GBTClassifier(**common, maxIter=3 if quick else 150, stepSize=0.08, maxDepth=5, minInstancesPerNode=20, seed=seed)
     elif kind == "gbt_champion":
-        model = GBTClassifier(**common, maxIter=10 if quick else 250, stepSize=0.05, maxDepth=6, minInstancesPerNode=15, seed=seed)
+        model = GBTClassifier(**common, maxIter=3 if quick else 250, stepSize=0.05, maxDepth=6, minInstancesPerNode=15, seed=seed)
     else:
         rate = 1.0
         model = RandomForestClassifier(**common, numTrees=10 if quick else 100, maxDepth=16, minInstancesPerNode=10, subsamplingRate=rate, bootstrap=kind == "forest", seed=seed)

@@ -35,15 +35,22 @@ def match(s1: DataFrame, pool: DataFrame, model: PipelineModel, threshold: float
     return D.ordered(s1, D.chosen(scored, threshold))
 
 
-def fit(s1: DataFrame, pool: DataFrame, truth: DataFrame, kind: str = "gbt_champion", cap: int = B.SERVE_CAP, most_entities: int = 40_000, per_entity: int = 100, variant: str = "serve", quick: bool = False) -> tuple[PipelineModel, float, DataFrame]:
+def fit(s1: DataFrame, pool: DataFrame, truth: DataFrame, kind: str = "gbt_champion", cap: int = B.SERVE_CAP, most_entities: int = 40_000, per_entity: int = 100, variant: str = "serve", quick: bool = False, work: str | None = None) -> tuple[PipelineModel, float, DataFrame]:
     """A model, its best threshold on held-out entities, and the threshold sweep.
 
     Features are those of serving by default, so that the model sees in use what it was trained on; ``variant="train"`` gives the others.
+    They are written below ``work`` if given, which spares each later step their long plan; else they are cached.
     """
     entities = P.split(P.sampled(truth, most_entities)).cache()
     sample = s1.join(entities.select(F.col("s1_id").alias("entity_id")), "entity_id", "left_semi")
     pairs = P.labelled(entities, truth, candidate_pairs(sample, pool, cap, per_entity), sample, pool)
-    features = FE.features(pairs.select("s1_id", "noisy_id", "label"), sample, pool, variant, ("label",)).join(entities, "s1_id").cache()
+    features = FE.features(pairs.select("s1_id", "noisy_id", "label"), sample, pool, variant, ("label",)).join(entities, "s1_id")
+    if work:
+        IO.write_parquet(features, f"{work}/features")
+        IO.write_parquet(entities, f"{work}/entities")
+        features, entities = (IO.read_parquet(s1.sparkSession, f"{work}/{t}") for t in ("features", "entities"))
+    else:
+        features = features.cache()
     model = ML.train(features.where("NOT is_validation").drop("is_validation"), kind, quick=quick)
     held = entities.where("is_validation").select(F.col("s1_id").alias("entity_id"))
     scored = ML.score(model, features.where("is_validation")).select("s1_id", "noisy_id", "label", "prob")
@@ -86,7 +93,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     if given.mode == "full":
         s1, pool = read_sources(spark, given.data, "train")
         truth = IO.truth_pairs(IO.read_tsv(spark, f"{given.data}/train_ground_truth.tsv", IO.TRUTH))
-        model, threshold, _ = fit(s1, pool, truth, given.kind, given.cap, quick=given.quick)
+        model, threshold, _ = fit(s1, pool, truth, given.kind, given.cap, quick=given.quick, work=f"{given.model}/work")
         ML.save(model, given.model, threshold)
     s1, pool = read_sources(spark, given.data, "test")
     if given.mode != "validate":
