@@ -132,3 +132,28 @@ def compared(docs: DataFrame) -> DataFrame:
         fingerprint("signatures").alias("fingerprint"), fingerprint("edited_signatures").alias("edited_fingerprint"),
         likeness("signatures", "edited_signatures").alias("near_edited"), likeness("signatures", "next_signatures").alias("near_next"),
     )
+
+
+def _prefixed(df: DataFrame, id_: str, threshold: float) -> DataFrame:
+    """Each distinct set's first signatures in a global order (their hashes'): sets that are alike enough share one of them. ``part`` numbers geometric ranges of set sizes."""
+    sets = with_signatures(df.select(F.col("doc_id").cast("long").alias(id_), F.col("text").cast("string").alias("text")), "text", "s").drop("text")
+    sized = sets.withColumns({"s": F.sort_array("s"), "n": F.size("s")})
+    part = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
+    least = F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int")
+    return sized.withColumns({"part": part, "prefix": F.slice("s", F.lit(1), F.col("n") - least + 1)})
+
+
+def similar(queries: DataFrame, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """``query_id, doc_id, likeness`` of all documents (``doc_id, text``) with a Jaccard similarity of ``threshold`` or more to a query; exact.
+
+    Documents are partitioned by set size, in ranges by the factor ``1 / threshold``: a query looks in its own and the two next to it. Within a partition the
+    sets that share a prefix signature are compared, those first ruled out whose sizes alone forbid the likeness. Null ids take no part.
+    """
+    q = _prefixed(queries.where("doc_id IS NOT NULL"), "query_id", threshold)
+    d = _prefixed(docs.where("doc_id IS NOT NULL"), "doc_id", threshold)
+    left = q.select("query_id", "s", "n", F.explode(F.array(F.col("part") - 1, F.col("part"), F.col("part") + 1)).alias("part"), "prefix")
+    left = left.select("query_id", F.col("s").alias("qs"), F.col("n").alias("qn"), "part", F.explode("prefix").alias("sig"))
+    right = d.select("doc_id", "s", "n", "part", F.explode("prefix").alias("sig"))
+    fits = (F.col("n") >= F.lit(threshold) * F.col("qn") - 1e-9) & (F.col("qn") >= F.lit(threshold) * F.col("n") - 1e-9)
+    alike = right.join(left, ["part", "sig"]).where(fits).withColumn("likeness", likeness("qs", "s")).where(F.col("likeness") >= threshold)
+    return alike.select("query_id", "doc_id", "likeness").distinct()

@@ -73,3 +73,23 @@ def test_one_row_and_empty_table(spark):
     (r,) = spotsigs.compared(one).collect()
     assert (r.doc_id, r.near_next) == (5, 1.0)
     assert spotsigs.compared(one.limit(0)).collect() == []
+
+
+def test_search_finds_all_that_are_alike(spark):
+    rng = random.Random(9)
+    pool = ["the", "of", "la"] + [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(12):
+        base = rng.choices(pool, k=rng.randint(30, 300))
+        for j in range(6):
+            words = list(base)
+            for _ in range(rng.choice([0, 1, 2, 12])):
+                words[rng.randrange(len(words))] = rng.choice(pool)
+            rows.append((10 * i + j, " ".join(words[: len(words) - rng.choice([0, 0, 9])])))
+    rows += [(500, None), (501, ""), (502, "lonely"), (503, "lonely"), (None, rows[0][1]), rows[3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    queries = docs.where("doc_id % 5 = 0 OR doc_id > 499")
+    got = {(r.query_id, r.doc_id): r.likeness for r in spotsigs.similar(queries, docs).collect()}
+    sets = {d: brute_set(t) for d, t in rows if d is not None}
+    want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets if a % 5 == 0 or a > 499 for b in sets}
+    assert got == {k: v for k, v in want.items() if v >= 0.8} and len(got) > 40
