@@ -62,5 +62,7 @@ truth AS (
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the common table expressions."""
+    # The views' expressions are long; untrimmed, the driver would keep megabytes of plan text for each query.
+    spark.conf.set("spark.sql.maxPlanStringLength", 32768)
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand")
     return spark.sql(f"WITH part AS (SELECT * FROM {{src}}), {CTES.strip()} SELECT * FROM {name}", src=part)
