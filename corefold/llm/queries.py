@@ -73,4 +73,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_spotsigs": op10_spotsigs,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Only the passages can be checked in SQL; the others hash with XXH64, train, align, parse or tokenise, and are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op3_passages": r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)),
+first AS (SELECT k, min(doc_id) AS low FROM windows GROUP BY k HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN first USING (k) WHERE low < doc_id)),
+placed AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (SELECT placed.doc_id, count(gone.p) AS n_removed, coalesce(string_agg(w, ' ' ORDER BY placed.p) FILTER (WHERE gone.p IS NULL), '') AS t
+  FROM placed LEFT JOIN gone ON gone.doc_id = placed.doc_id AND gone.p = placed.p GROUP BY placed.doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+""",
+}
