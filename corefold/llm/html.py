@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import scratch
+from . import scratch, textvec
 from .linededup import rising
 
 COPY_SHARE = 0.6  # of a page's open text, shared with a neighbour: from here on they are copies
@@ -173,7 +173,7 @@ def lines(pages: DataFrame) -> DataFrame:
     """``LINES``: each page's place and the 64-bit hashes of its blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.chunks(batches):
             where = [place(u.as_py()) for u in b.column(1)]
             found = [blocks(h.as_py()) for h in b.column(0)]
             hashes = [[xxhash.xxh64_intdigest(t.encode()) - (1 << 63) for t, _ in f] for f in found]
@@ -208,7 +208,7 @@ def furniture(pages: DataFrame) -> DataFrame:
     paired = rows.withColumn("before", beside(F.lag)).withColumn("after", beside(F.lead)).where("NOT guest AND NOT landmark AND host <> ''")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.chunks(batches):
             gone = []
             for mine, sizes, before, after in zip(*b.columns[2:]):
                 mine, sizes = (x.values.to_numpy(zero_copy_only=False) for x in (mine, sizes))
@@ -231,7 +231,7 @@ def extract(pages: DataFrame) -> DataFrame:
     joined = keyed.join(gone, keyed.page_id.eqNullSafe(F.col("__id")) & (keyed.page_key == F.col("__key")), "left").select("html", "gone", "page_id", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.chunks(batches):
             texts = [main_text(blocks(h.as_py()), frozenset(g.as_py() or ())) for h, g in zip(b.column(0), b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

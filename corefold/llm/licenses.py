@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from . import textvec
+
 # The base phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 # Short notices (lower case, words joined by one space) and their labels.
@@ -158,7 +160,7 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
         return n, len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(own)), ",".join(sorted(own | {m.label for m in fuzz})), best, spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.chunks(batches):
             columns = list(zip(*[one(t.as_py()) for t in b.column(0)])) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=schema.names)
 

@@ -115,7 +115,7 @@ def repeated(docs: DataFrame, least: int = MIN_BLOCK_WORDS) -> DataFrame:
     grouped = common.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(F.xxhash64("home_id", "home_key").alias("pair"), "at", "home_at", "words")).alias("common"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.chunks(batches):
             gone = []
             for row in b.column(2):
                 pair, at, home_at, words = (row.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
@@ -153,14 +153,14 @@ def dedup(docs: DataFrame, least: int = MIN_BLOCK_WORDS) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in textvec.chunks(batches):
             small = pa.array([squeeze.compress(t.as_py().encode()) if t.is_valid else None for t in b.column(0)], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[1:], small], names=packed_schema.names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         nothing = np.zeros(0, np.int32)
-        for b in batches:
+        for b in textvec.chunks(batches):
             texts, n_lines, n_gone = [], [], []
             for small, gone in zip(b.column(1), b.column(0)):
                 lost = gone.values.to_numpy(zero_copy_only=False) if gone.is_valid else nothing

@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, text: str = "text", size: int = SHINGLE, seed:
     schema = docs.select(*keep).schema.add("fp", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.chunks(batches):
             fp = np.fromiter((_fingerprint((t.as_py() or "").encode(), size, seed) for t in b.column(0)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fp.view(np.int64))], names=[*keep, "fp"])
 

@@ -91,11 +91,12 @@ class Index:
     """Sorted immutable runs below ``path``, a folder that all executors share."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.runs = spark, path.rstrip("/"), []
+        self.spark, self.path, self.runs, self.written = spark, path.rstrip("/"), [], 0
 
     def append(self, entries: DataFrame) -> DataFrame:
         """Write a run of files sorted by anchor; returns it. A frequent anchor's entries go to many files."""
-        run = f"{self.path}/run-{len(self.runs):05d}"
+        run = f"{self.path}/run-{self.written:05d}"
+        self.written += 1
         entries.repartition("anchor", "doc_id").sortWithinPartitions("anchor").write.option("compression", "zstd").parquet(run)
         self.runs.append(run)
         return self.spark.read.schema(RUN_SCHEMA).parquet(run)
@@ -107,7 +108,7 @@ class Index:
         """Merge all runs into one, with the smallest document's entry of each kind of span."""
         if len(self.runs) < 2:
             return
-        whole = f"{self.path}/compact-{len(self.runs):05d}"
+        whole = f"{self.path}/compact-{self.written:05d}"
         rest = [c for c in self.read().columns if c not in ("anchor", "sig", "sig2", "before", "len")]
         kept = self.read().groupBy("anchor", "sig", "sig2", "before", "len").agg(F.min(F.struct(*rest)).alias("e"))
         kept.select("anchor", "sig", "sig2", "e.doc_id", "e.text_key", "e.at", "before", "len").repartition("anchor", "doc_id").sortWithinPartitions("anchor").write.option("compression", "zstd").parquet(whole)
@@ -161,7 +162,7 @@ def _windows(documents: DataFrame, kinds: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in textvec.chunks(batches):
             for k in range(b.num_rows):
                 buf = np.frombuffer(unpack.decompress(b.column(0)[k].as_py()), np.uint8)
                 w = textvec.words(buf, np.array([0, len(buf)]))
@@ -189,7 +190,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in textvec.chunks(batches):
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array([pack.compress((t.as_py() or "").encode()) for t in b.column(0)], pa.binary())], names=["doc_id", "text_key", "packed"])
 
     return _keyed(docs).select("text", "doc_id", "text_key").mapInArrow(run, "doc_id bigint, text_key bigint, packed binary")
@@ -201,7 +202,7 @@ def removed(docs: DataFrame, repeats: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in textvec.chunks(batches):
             n, gone, kept = [], [], []
             for packed, spans_ in zip(b.column(0), b.column(2)):
                 found = unpack.decompress(packed.as_py()).split()

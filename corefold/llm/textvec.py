@@ -91,6 +91,15 @@ def slices(texts: pa.Array, budget: int = SLICE_BYTES) -> Iterator[tuple[int, in
     pa.default_memory_pool().release_unused()
 
 
+def chunks(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of fewer rows, which bounds what is made of them at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+        del b
+        pa.default_memory_pool().release_unused()
+
+
 def words(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
     """Words are maximal runs of bytes outside ``space`` within a row."""
     inside = ~space[buf]

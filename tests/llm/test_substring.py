@@ -1,5 +1,6 @@
 import random
 import re
+import uuid
 
 import pytest
 
@@ -56,7 +57,7 @@ def test_matches_brute_force(spark, batches):
 def test_batches_with_compaction_match_one_batch(spark, tmp_path):
     rows = [r for r in corpus() if r[0] is not None]
     docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
-    index = substring.Index(spark, f"{scratch.shared_dir(spark)}/{tmp_path.name}")
+    index = substring.Index(spark, f"{scratch.shared_dir(spark)}/{tmp_path.name}-{uuid.uuid4().hex}")
     got = []
     for low, high in ((0, 15), (15, 30), (30, 50), (50, 99)):
         got += substring.dedup(docs.where(f"doc_id >= {low} AND doc_id < {high}"), index, docs.where(f"doc_id < {high}")).collect()
