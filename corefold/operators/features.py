@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions import text as T
 
+# The features in the order of the vector.
 NAMES = [
     "name_exact_match", "name_clean_exact", "name_fuzz_ratio", "name_partial_ratio", "name_token_sort_ratio", "name_token_set_ratio", "name_token_jaccard",
     "name_char_3gram_jaccard", "name_char_4gram_jaccard", "name_len_diff", "name_len_ratio", "name_token_count_diff", "name_no_legal_exact",

@@ -1,6 +1,7 @@
 """Ordered ladders that name why a match was lost, ranked low, missed or made up.
 
 Input pairs have ``s1_name, s1_address, s1_country, noisy_name, noisy_address, noisy_country`` (not null). Ratios are 0 to 100.
+The names of the categories and the cuts between them are fixed values.
 """
 
 from __future__ import annotations
