@@ -20,6 +20,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_made: list[str] = []
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the tables that this process has written, once the results that read them are written elsewhere; how many there were."""
+    paths, _made[:] = list(_made), []
+    for path in paths:
+        delete(spark, path)
+    return len(paths)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder through Spark's own file system layer."""
     jvm = spark.sparkContext._jvm
@@ -31,5 +42,6 @@ def table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder; return it as read again, and its path."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
