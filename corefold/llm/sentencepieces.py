@@ -12,6 +12,7 @@ import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -27,7 +28,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 BATCH_BYTES = 1 << 20
-MOST_WORDS = 500_000  # of the words whose ids a worker keeps
+MOST_WORDS = 1_000_000  # of the words whose ids a worker keeps
 THREADS = 2
 RUN = 500  # words that are verified as one text
 
@@ -215,6 +216,12 @@ class Codec:
         return [a == b.tolist() for a, b in zip(self.other.encode(texts, num_threads=THREADS), ids)]
 
 
+@lru_cache(maxsize=1)
+def _codec(data: bytes, parity: bool) -> Codec:
+    """One codec for all tasks of a worker process: what it knows of words is used again."""
+    return Codec(data, parity)
+
+
 def read_model(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -230,7 +237,7 @@ def encoded(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = "true", str(THREADS)
-        codec = Codec(model, verify)
+        codec = _codec(model, verify)
         is_byte = np.array([kind == BYTE for _, _, kind in codec.model.pieces])
         for b in batches:
             for at, to, _, _ in textvec.slices(b.column(0), BATCH_BYTES):
