@@ -8,6 +8,10 @@ document that has it is paired with that home: a line in very many documents mak
 is dropped for being frequent; a rare line links just the documents that overlap. Each pair is aligned by patience: the longest run of common tokens that rises in both
 documents. From the later document go the blocks (runs of aligned lines, whichever earlier documents they align with) of
 ``MIN_BLOCK_WORDS`` words or more.
+
+With ``every``, a line that its home's alignment drops is *open* if its block could be long enough, and is tried with all its other earlier
+holders, over all the tokens that the two documents share, until one of them aligns it. So a line is aligned if its home or any
+earlier document aligns it, and only open lines cost more than one link. Holders are tried in growing ranges of their rank.
 """
 
 from __future__ import annotations
@@ -18,12 +22,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import textvec
+from . import scratch, textvec
 
 MIN_BLOCK_WORDS = 8
+HOLDERS = 16  # ranks of an open line's holders that the first round tries; each further round goes up to so many times more
 
 TOKENS = "k1 bigint, k2 bigint, doc_id bigint, text_key bigint, at int, words int"
 
@@ -92,40 +97,107 @@ def rising(values: np.ndarray) -> list[int]:
     return out[::-1]
 
 
-def aligned_blocks(pair: np.ndarray, at: np.ndarray, home_at: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
-    """Of one later document's common tokens: the lines (their ordinals) in aligned blocks of ``least`` words or more. ``pair`` numbers the homes."""
+def aligned(pair: np.ndarray, at: np.ndarray, home_at: np.ndarray) -> np.ndarray:
+    """Of one later document's common tokens: which are aligned. ``pair`` numbers the homes."""
     order = np.lexsort((at, pair))
-    pair, at, home_at, words = pair[order], at[order], home_at[order], words[order]
-    cuts = np.flatnonzero(np.diff(pair)) + 1
-    kept = []
+    cuts = np.flatnonzero(np.diff(pair[order])) + 1
+    kept = np.zeros(len(pair), bool)
     for lo, hi in zip([0, *cuts], [*cuts, len(pair)]):
-        kept += [lo + i for i in rising(home_at[lo:hi])]
-    kept = np.array(kept, np.int64)
-    kept = kept[np.argsort(at[kept], kind="stable")]
-    lines, size = at[kept], words[kept]
-    block = np.cumsum(np.concatenate(([0], np.diff(lines) != 1))) if len(lines) else lines
-    return lines[np.bincount(block, weights=size)[block] >= least] if len(lines) else lines
+        kept[order[lo:hi][rising(home_at[order[lo:hi]])]] = True
+    return kept
 
 
-def repeated(docs: DataFrame, least: int = MIN_BLOCK_WORDS) -> DataFrame:
-    """``(doc_id, text_key, gone)``: ordinals of the lines to delete, for the documents that have such."""
-    found = tokens(docs)
+def blocks(at: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
+    """Of the lines ``at`` (ascending): which are in runs of neighbours of ``least`` words or more."""
+    if not len(at):
+        return np.zeros(0, bool)
+    block = np.cumsum(np.concatenate(([0], np.diff(at) != 1)))
+    return np.bincount(block, weights=words)[block] >= least
+
+
+def _first_aligned(found: DataFrame, least: int) -> DataFrame:
+    """Alignment with the homes: ``doc_id, text_key``, the lines that have an earlier home (``at``, ``words``), those ``done`` (aligned) and those ``open``, and the lines ``gone``."""
     home = found.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "text_key", "at")).alias("home"), F.max("doc_id").alias("high")).where("home.doc_id < high")
     common = found.join(home.select("k1", "k2", F.col("home.doc_id").alias("home_id"), F.col("home.text_key").alias("home_key"), F.col("home.at").alias("home_at")), ["k1", "k2"]).where("home_id < doc_id")
     grouped = common.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(F.xxhash64("home_id", "home_key").alias("pair"), "at", "home_at", "words")).alias("common"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in textvec.chunks(batches):
-            gone = []
+            out: list[list[np.ndarray]] = [[] for _ in range(5)]
             for row in b.column(2):
                 pair, at, home_at, words = (row.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
                 if len(at):  # a repeated row brings each token twice
                     _, first = np.unique(at, return_index=True)
                     pair, at, home_at, words = pair[first], at[first], home_at[first], words[first]
-                gone.append(aligned_blocks(pair, at, home_at, words, least).astype(np.int32))
+                done = aligned(pair, at, home_at)
+                gone = at[done][blocks(at[done], words[done], least)]
+                for values, v in zip(out, (at, words, at[done], at[~done & blocks(at, words, least)], gone)):
+                    values.append(v.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(v, pa.list_(pa.int32())) for v in out]], names=["doc_id", "text_key", "at", "words", "done", "open", "gone"])
+
+    return grouped.mapInArrow(run, "doc_id bigint, text_key bigint, at array<int>, words array<int>, done array<int>, open array<int>, gone array<int>")
+
+
+def _pair_aligned(pairs: DataFrame, mine: DataFrame, found: DataFrame) -> DataFrame:
+    """``doc_id, text_key, more``: the lines that an alignment with one of the pairs' other documents (``e_id, e_key``) has, over all the tokens the two share."""
+    others = pairs.select("e_id", "e_key").distinct()
+    theirs = found.select(F.col("doc_id").alias("e_id"), F.col("text_key").alias("e_key"), "k1", "k2", F.col("at").alias("e_at")).join(others, ["e_id", "e_key"]).distinct()
+    common = pairs.join(theirs, ["e_id", "e_key"]).join(mine, ["doc_id", "text_key", "k1", "k2"])
+    grouped = common.groupBy("doc_id", "text_key", "e_id", "e_key").agg(F.sort_array(F.collect_list(F.struct("at", "e_at"))).alias("common")).select("doc_id", "text_key", "common")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in textvec.chunks(batches):
+            more = []
+            for row in b.column(2):
+                at, e_at = (row.values.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+                more.append(at[rising(e_at)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(more, pa.list_(pa.int32()))], names=["doc_id", "text_key", "more"])
+
+    lines = grouped.mapInArrow(run, "doc_id bigint, text_key bigint, more array<int>")
+    return lines.groupBy("doc_id", "text_key").agg(F.array_distinct(F.flatten(F.collect_list("more"))).alias("more"))
+
+
+def _settled(found: DataFrame, state: DataFrame, least: int) -> DataFrame:
+    """``(doc_id, text_key, gone)`` of the documents of ``state`` that have open lines, once all earlier holders of these have been tried."""
+    state = state.where(F.size("open") > 0).select("doc_id", "text_key", "at", "words", "done", "open")
+    mine, _ = scratch.table(found.join(state.select("doc_id", "text_key"), ["doc_id", "text_key"], "left_semi").select("doc_id", "text_key", "k1", "k2", "at").distinct(), "lines-mine")
+    keys = lambda s: s.select("doc_id", "text_key", F.explode("open").alias("at")).join(mine, ["doc_id", "text_key", "at"]).select("doc_id", "text_key", "k1", "k2")
+    asked = keys(state).groupBy("k1", "k2").agg(F.max("doc_id").alias("high"))
+    held = found.join(asked, ["k1", "k2"]).where("doc_id < high").select("k1", "k2", F.col("doc_id").alias("e_id"), F.col("text_key").alias("e_key")).distinct()
+    holders, _ = scratch.table(held.withColumn("rank", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("e_id", "e_key"))), "lines-holders")
+    most = holders.agg(F.max("rank")).first()[0] or 0
+    # An equal text aligns all lines, whatever its rank.
+    firsts = found.where("at = 0").join(state.select("text_key").distinct(), "text_key").groupBy("text_key").agg(F.min("doc_id").alias("e_id"))
+    copies = state.select("doc_id", "text_key").join(firsts, "text_key").where("e_id < doc_id").select("doc_id", "text_key", "e_id", F.col("text_key").alias("e_key"))
+    low, high = 0, HOLDERS
+    while low < most:
+        near = holders.where((F.col("rank") > low) & (F.col("rank") <= high)).drop("rank")
+        pairs = keys(state).join(near, ["k1", "k2"]).where("e_id < doc_id").select("doc_id", "text_key", "e_id", "e_key")
+        more = _pair_aligned((pairs.union(copies) if low == 0 else pairs).distinct(), mine, found)
+        none = F.array().cast("array<int>")
+        joined = state.join(more, ["doc_id", "text_key"], "left").withColumn("more", F.coalesce("more", none))
+        state, _ = scratch.table(joined.select("doc_id", "text_key", "at", "words", F.array_union("done", "more").alias("done"), F.array_except("open", "more").alias("open")), "lines-open")
+        low, high = high, high * HOLDERS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in textvec.chunks(batches):
+            gone = []
+            for row in zip(*b.columns[2:]):
+                at, words, done = (v.values.to_numpy(zero_copy_only=False) for v in row)
+                kept = np.isin(at, done)
+                gone.append(at[kept][blocks(at[kept], words[kept], least)].astype(np.int32))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(gone, pa.list_(pa.int32()))], names=["doc_id", "text_key", "gone"])
 
-    return grouped.mapInArrow(run, "doc_id bigint, text_key bigint, gone array<int>").where(F.size("gone") > 0)
+    return state.select("doc_id", "text_key", "at", "words", "done").mapInArrow(run, "doc_id bigint, text_key bigint, gone array<int>")
+
+
+def repeated(docs: DataFrame, least: int = MIN_BLOCK_WORDS, every: bool = False) -> DataFrame:
+    """``(doc_id, text_key, gone)``: ordinals of the lines to delete, for the documents that have such."""
+    if not every:
+        return _first_aligned(tokens(docs), least).select("doc_id", "text_key", "gone").where(F.size("gone") > 0)
+    found, _ = scratch.table(tokens(docs), "lines-tokens")
+    state, _ = scratch.table(_first_aligned(found, least).where("size(open) > 0 OR size(gone) > 0"), "lines-first")
+    return state.where("size(open) = 0").select("doc_id", "text_key", "gone").union(_settled(found, state, least)).where(F.size("gone") > 0)
 
 
 def without(text: str, gone: np.ndarray) -> tuple[str, int]:
@@ -140,9 +212,11 @@ def without(text: str, gone: np.ndarray) -> tuple[str, int]:
     return "\n".join(kept), n
 
 
-def dedup(docs: DataFrame, least: int = MIN_BLOCK_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, least: int = MIN_BLOCK_WORDS, every: bool = False) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``text``) with the repeated lines deleted from ``text``, and ``__n_lines, __n_removed`` (lines with words).
 
+    Lines are aligned with their homes only, or with ``every`` earlier document that has them.
+
     All rows and columns stay; a text of which nothing is left is empty. Null texts stay null. Rows with a null id neither
     own nor lose lines; rows that repeat an id don't remove each other's lines.
     """
@@ -171,6 +245,6 @@ def dedup(docs: DataFrame, least: int = MIN_BLOCK_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(2), pa.array(texts, pa.string()), *b.columns[3:], pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64())], names=out_schema.names)
 
     packed = _keyed(docs).select("text", "doc_id", "__text_key", *rest).mapInArrow(pack, packed_schema)
-    gone = repeated(docs, least).select(F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__key"), F.col("gone").alias("__gone"))
+    gone = repeated(docs, least, every).select(F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__key"), F.col("gone").alias("__gone"))
     joined = packed.join(gone, (packed.doc_id == gone["__doc_id"]) & (packed["__text_key"] == gone["__key"]), "left")
     return joined.select("__gone", "__packed", "doc_id", *rest).mapInArrow(cut, out_schema).select(*docs.columns, "__n_lines", "__n_removed")

@@ -43,7 +43,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = linededup.dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"), every=True)
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), F.char_length("text").cast("long").alias("n_kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 

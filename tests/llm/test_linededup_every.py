@@ -1,0 +1,54 @@
+from corefold.llm import linededup, queries
+from tests.llm import test_linededup as base
+
+
+def every(rows, least):
+    """Lines that an alignment with the home, or over all common lines with any earlier document, has; those in long enough blocks go."""
+    listed = sorted((x for x in base.token_lists(rows) if x[0] is not None), key=lambda x: x[0])
+    home, gone_of = {}, {}
+    for d, _, tokens in listed:
+        for q, tok in enumerate(tokens):
+            home.setdefault(tok, (d, q))
+    for d, _, tokens in listed:
+        aligned, pairs = set(), {}
+        for p, tok in enumerate(tokens):
+            if home[tok][0] < d:
+                pairs.setdefault(home[tok][0], []).append((p, home[tok][1]))
+        for e, _, others in listed:
+            if e < d:
+                at = {tok: q for q, tok in enumerate(others)}
+                pairs["all", e] = [(p, at[tok]) for p, tok in enumerate(tokens) if tok in at]
+        for common in pairs.values():
+            aligned |= {common[i][0] for i in linededup.rising(base.np.array([q for _, q in common]))}
+        gone, block = set(), []
+        for p in [*sorted(aligned), None]:
+            if block and p != block[-1] + 1:
+                if sum(len(tokens[i][0].split()) for i in block) >= least:
+                    gone |= set(block)
+                block = []
+            if p is not None:
+                block.append(p)
+        gone_of[d] = gone
+    return gone_of
+
+
+def test_a_copy_goes_whole_though_its_first_home_has_two_lines_in_reverse(spark, tmp_path):
+    first, last, middle = "the first line has five words", "and the last line has six words", "this middle line also has more than eight words in it"
+    texts = [(1, f"{last}\nsomething else\n{first}"), (2, f"{first}\n{middle}\n{last}"), (3, f"{first}\n{middle}\n{last}")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in queries.op7_lines(spark, str(tmp_path)).collect()}
+    assert got[3] == (3, 3) and got[1] == (3, 0)
+
+
+def test_every_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "HOLDERS", 2)  # several rounds
+    rows = base.corpus()
+    docs = spark.createDataFrame([*rows, (None, rows[9][1])], "doc_id long, text string")
+    want = every(rows, linededup.MIN_BLOCK_WORDS)
+    got = {r.doc_id: r["__n_removed"] for r in linededup.dedup(docs, every=True).collect() if r.doc_id is not None}
+    assert got == {d: len(g) for d, g in want.items()}
+    assert sum(got.values()) > sum(r["__n_removed"] for r in linededup.dedup(docs).collect())
+
+
+def test_every_on_an_empty_table(spark):
+    assert linededup.dedup(spark.createDataFrame([], "doc_id long, text string"), every=True).collect() == []
