@@ -21,7 +21,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.report(_read(spark, sf_dir, "documents"))
+    return pii.report(_read(spark, sf_dir, "documents"), pii.run_key(spark))
 
 
 def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

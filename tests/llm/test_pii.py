@@ -1,8 +1,14 @@
 import hashlib
+import os
+import pathlib
 import random
 import re
+import subprocess
+import sys
 from datetime import date
 
+import pytest
+
 from corefold.llm import pii
 
 
@@ -44,9 +50,9 @@ def iban(rng):
     return f"DE{98 - mod97('DE00' + body):02d}{body}"
 
 
-def found(spark, texts, **more):
+def found(spark, texts, key="k0", **more):
     rows = [(i, t, "x", 1) for i, t in enumerate(texts)]
-    return {r.doc_id: r for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string, kinds string, __values int"), **more).collect()}
+    return {r.doc_id: r for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string, kinds string, __values int"), key, **more).collect()}
 
 
 def test_formats_links_and_the_way_back(spark):
@@ -104,6 +110,71 @@ def test_long_text_repeated_rows_and_empty_table(spark):
     text = "word 4111111111111111 " * 20000
     rows = [(1, text), (1, text), (None, "555-123-4567")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = pii.report(df).collect()
+    got = pii.report(df, "k").collect()
     assert sorted(r.n_found for r in got) == [1, 20000, 20000]
-    assert pii.report(df.limit(0)).collect() == []
+    assert pii.report(df.limit(0), "k").collect() == []
+
+
+def test_one_value_in_several_notations_stays_one(spark):
+    dates = {i: date(2020, 1, 5 + i) for i in range(20)}
+    shown = ["%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%d.%m.%Y", "%d-%m-%Y"]
+    got = found(spark, [" and ".join(f"{d:{f}}" for f in shown) for d in dates.values()])
+    for i in dates:
+        a, b, c, d, e = got[i].text.split(" and ")
+        y, m, dd = a.split("-")
+        assert a != f"{dates[i]:%Y-%m-%d}" and (int(dd) > 12) == (dates[i].day > 12)
+        assert (b, c, d, e) == (f"{y}/{m}/{dd}", f"{m}/{dd}/{y}", f"{dd}.{m}.{y}", f"{dd}-{m}-{y}")
+    late = found(spark, ["25/12/2020 12/25/2020 12-25-2020 2020-12-25 5.1.2020 2020-1-5"])[0].text.split()
+    y, m, d = late[3].split("-")
+    assert late[:3] == [f"{d}/{m}/{y}", f"{m}/{d}/{y}", f"{m}-{d}-{y}"] and int(d) > 12
+    assert late[4] == ".".join(reversed(late[5].split("-")))
+    phones = found(spark, ["+1 415-555-0100 +14155550100 (415) 555-0100 415.555.0100", "+49 30 1234 5678 +493012345678"])
+    digits = [re.sub(r"\D", "", x) for x in re.findall(r"\+1 [\d-]+|\+\d+|\(\d+\) [\d-]+|[\d.]+", phones[0].text)]
+    assert digits[0] == digits[1] == "1" + digits[2] == "1" + digits[3] != "14155550100"
+    german = re.findall(r"\+49 [\d ]+|\+49\d+", phones[1].text)
+    assert len({re.sub(r"\D", "", x) for x in german}) == 1 and german[0][:5] == "+49 3"
+
+
+def test_secrets_of_any_length(spark):
+    rng = random.Random(3)
+    hexes = "".join(rng.choices("0123456789abcdef", k=1000))
+    texts = ["sk-" + "aB3_" * 90, "ghp_" + "a1B2" * 60, hexes, hexes[:129], "sk-" + "x1" * 200000]
+    got = found(spark, [f"key={t} end" for t in texts])
+    for i, t in enumerate(texts):
+        new = got[i].text[4:-4]
+        assert len(new) == len(t) and new != t and t[8:40] not in got[i].text and got[i].n_found == 1
+
+
+def test_a_key_is_needed_and_not_shown(spark):
+    df = spark.createDataFrame([(1, "card 4111111111111111")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        pii.pseudonymised(df)
+    out = pii.pseudonymised(df, key="s3cr3t-k3y")
+    plan = out._jdf.queryExecution().toString()
+    assert "s3cr3t" not in plan and "Python" not in plan and "4111" not in out.first().text
+    assert pii.run_key(spark) == pii.run_key(spark) and len(pii.run_key(spark)) == 64
+
+
+def test_columns_with_clashing_names_stay(spark):
+    rows = [(1, "card 4111111111111111", 1, 2, 3, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __matches int, __values int, __secret int, __found int")
+    out = pii.pseudonymised(df, key="k", found=None)
+    assert out.columns == df.columns and tuple(out.first())[2:] == (1, 2, 3, 4)
+    assert [v.kind for v in pii.pseudonymised(df, key="k").first()["__found"]] == ["card"]
+
+
+HOSTILE = """
+from pyspark.sql import SparkSession
+from corefold.llm import pii
+spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
+units = ["a.", "1.", "1 ", "AA00 ", "A1B2 ", "a1", "0", "+1 ", "(12) ", "1-", "x@", "sk-", "4111 ", "\u00e9", "\u20ac", "12/"]
+unit = "element_at(array(" + ",".join(f"'{u}'" for u in units) + "), CAST(id + 1 AS INT))"
+df = spark.range(0, len(units), 1, len(units)).selectExpr("id AS doc_id", f"concat('x@', repeat({unit}, CAST(1000000 * if(id = 0, 10, 1) / length({unit}) AS INT)), '! ') AS text")
+print(pii.report(df, "k").where("length(text) >= 999998").count())
+"""
+
+
+def test_hostile_texts_of_10_mb_in_a_fresh_jvm():
+    here = pathlib.Path(__file__).parents[2]
+    got = subprocess.run([sys.executable, "-c", HOSTILE], capture_output=True, text=True, timeout=900, cwd=here, env=os.environ | {"PYTHONPATH": str(here)})
+    assert got.stdout.strip() == "16", got.stdout[-500:] + got.stderr[-2000:]
