@@ -1,6 +1,6 @@
 """Removal of repeated lines by pairwise alignment.
 
-A line is the text between line feeds without the white space around it; those without a word don't count. Two 64-bit hashes stand for a line and
+A line is the text between line feeds without the white space around it; those without a word don't count. A collision-resistant digest (BLAKE2b, 128 bits) stands for a line, shifted by
 its ordinal among equal lines of its document, so that in every document all of these *tokens* differ and any can anchor.
 
 Documents overlap where they share tokens. A token's home is the first document (smallest id) that has it, and a later
@@ -16,6 +16,7 @@ earlier document aligns it, and only open lines cost more than one link. Holders
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -44,16 +45,17 @@ def _tokens(w: textvec.Words) -> dict[str, np.ndarray]:
     first = np.flatnonzero(new)
     last = np.concatenate((first[1:], [n])) - 1
     row = w.row[first]
-    values = w.buf.astype(np.uint64) + np.uint64(1)
-    one, two = (textvec.span_hash(textvec.prefix(values, i), w.starts[first], w.ends[last], i) for i in (0, 1))
-    order = np.lexsort((np.arange(len(first)), one, row))
+    data = w.buf.tobytes()
+    digests = b"".join(hashlib.blake2b(data[i:j], digest_size=16).digest() for i, j in zip(w.starts[first].tolist(), w.ends[last].tolist()))
+    one, two = np.frombuffer(digests, "<u8").reshape(-1, 2).T
+    order = np.lexsort((np.arange(len(first)), two, one, row))
     same = np.zeros(len(first), bool)
-    same[1:] = (one[order][1:] == one[order][:-1]) & (row[order][1:] == row[order][:-1])
+    same[1:] = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1]) & (row[order][1:] == row[order][:-1])
     group = np.flatnonzero(~same)
     ordinal = np.empty(len(first), np.int64)
     ordinal[order] = np.arange(len(first)) - np.repeat(group, np.diff(np.concatenate((group, [len(first)]))))
     salt = textvec.mix(ordinal.astype(np.uint64) + np.uint64(5))
-    return {"row": row, "at": np.arange(len(first)) - np.searchsorted(row, row), "words": last - first + 1, "k1": textvec.mix(one ^ salt), "k2": textvec.mix(two + salt)}
+    return {"row": row, "at": np.arange(len(first)) - np.searchsorted(row, row), "words": last - first + 1, "k1": one + salt, "k2": two}
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

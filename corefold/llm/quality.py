@@ -50,30 +50,27 @@ def counts(w: textvec.Words) -> dict[str, np.ndarray]:
     ends = ends - (buf[ends - 1] == 10)
     row = np.searchsorted(offsets, starts, "right") - 1
     has_word = np.searchsorted(w.starts, ends, "left") > np.searchsorted(w.starts, starts, "left")
-    starts, ends, row = starts[has_word], ends[has_word], row[has_word]
-    hashes = textvec.span_hash(textvec.prefix(buf.astype(np.uint64) + np.uint64(1), 0), starts, ends, 0)
-    repeated, _ = _repeats(hashes, row)
-    out["n_dup_lines"] = np.bincount(row[repeated], minlength=rows)
-    at, windows = textvec.grams(textvec.prefix(w.hashes(), 1), w, 3, 1)
-    later, first = _repeats(windows, w.row[at])
+    data, seen = buf.tobytes(), set()
+    for r, i, j in zip(row[has_word].tolist(), starts[has_word].tolist(), ends[has_word].tolist()):
+        line = (r, data[i:j])
+        if line in seen:
+            out["n_dup_lines"][r] += 1
+        seen.add(line)
+    # Numbers of words, of pairs and of windows: equal if and only if the words are.
+    ids = w.ids()
+    n = np.int64(len(ids) + 1)
+    at = np.flatnonzero(w.row[: max(len(ids) - 2, 0)] == w.row[2:]) if len(ids) > 2 else np.zeros(0, np.int64)
+    pairs = np.unique(ids[at] * n + ids[at + 1], return_inverse=True)[1]
+    windows = np.unique(pairs * n + ids[at + 2], return_inverse=True)[1]
+    _, which, times = np.unique(windows * np.int64(rows) + w.row[at], return_inverse=True, return_counts=True)
+    twice = at[times[which] > 1]
     covered = np.zeros(len(w.starts), bool)
     for k in range(3):
-        covered[at[later] + k] = True
-        covered[at[first] + k] = True
+        covered[twice + k] = True
     out["n_repeat_words"] = np.bincount(w.row[covered], minlength=rows)
     return out
 
 
-def _repeats(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of those equal to an earlier one of their row, and of those equal to a later one."""
-    if len(hashes) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys = textvec.mix(hashes + textvec.mix(row.astype(np.uint64) + np.uint64(1)))
-    order = np.argsort(keys, kind="stable")
-    same = keys[order[1:]] == keys[order[:-1]]
-    return order[1:][same], order[:-1][same]
-
-
 def features(w: textvec.Words, bits: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, bucket, weight) of the words and of the character n-grams: each kind's weights sum to 1 in a row."""
     rows = len(w.offsets) - 1
@@ -85,9 +82,8 @@ def features(w: textvec.Words, bits: int) -> list[tuple[np.ndarray, np.ndarray,
     lengths = textvec.per_row((w.buf & 0xC0) != 0x80, w.offsets)
     row = np.repeat(np.arange(rows), lengths)
     if len(points) >= CHAR_GRAM and len(row) == len(points):
-        sums = textvec.prefix(points.astype(np.uint64) + np.uint64(1), 2)
         at = np.flatnonzero(row[: len(row) - CHAR_GRAM + 1] == row[CHAR_GRAM - 1 :])
-        grams = textvec.span_hash(sums, at, at + CHAR_GRAM, 2)
+        grams = textvec.runs(textvec.mix(points.astype(np.uint64) + textvec.SEEDS[2]), CHAR_GRAM)[at]
         out.append((row[at], (grams >> shift).astype(np.int64) + half, (1 / np.maximum(lengths - CHAR_GRAM + 1, 1))[row[at]]))
     return out
 

@@ -5,14 +5,17 @@ equals). The anchor is a function of the window alone, so equal windows have equ
 windows share one: a *span* is a maximal run of windows with the same anchor place. A batch of documents adds one sorted,
 immutable run of its spans to the index. To judge a batch, its anchors are merge-joined with the earlier runs and its own:
 
-1. spans whose whole word sequences are equal (two 64-bit hashes) are equal window by window; the smallest document keeps them;
-2. where an anchor stands in unequal spans, one span of each kind is compared window by window, on two more hashes each.
+1. spans whose whole word sequences are equal are equal window by window; the smallest document keeps them;
+2. where an anchor stands in unequal spans, one span of each kind is compared window by window.
+
+Word sequences are verified by collision-resistant digests of the words themselves (BLAKE2b, 128 bits); the anchors only find what may be equal.
 
 ``compact`` merges runs into one, which keeps one entry of each kind of span: that with the smallest document.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -31,17 +34,24 @@ _REACH = WINDOW - GRAM + 1  # grams in a window
 RUN_SCHEMA = "anchor bigint, sig bigint, sig2 bigint, doc_id bigint, text_key bigint, at int, before int, len int"
 
 
+def _digests(w: textvec.Words, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Two longs for each run of ``n`` words from ``first`` on: the BLAKE2b digest of the words, joined by one space."""
+    data = w.buf.tobytes()
+    starts, ends = w.starts[first].tolist(), w.ends[first + n - 1].tolist()
+    # Most texts have single spaces between words; only other runs are joined anew.
+    gaps = np.concatenate(([0], np.cumsum((w.starts[1:] - w.ends[:-1] != 1) | (w.buf[w.ends[:-1]] != 32)))) if len(w.starts) > 1 else np.zeros(1, np.int64)
+    plain = (gaps[first + n - 1] == gaps[first]).tolist()
+    digest = hashlib.blake2b
+    out = b"".join(digest(data[i:j] if p else b" ".join(data[i:j].split()), digest_size=16).digest() for i, j, p in zip(starts, ends, plain))
+    return np.frombuffer(out, "<u8").reshape(-1, 2)
+
+
 def _spans(w: textvec.Words) -> dict[str, np.ndarray]:
-    """Spans of a slice: row, first window's word ``at`` (in its row), number of windows ``len``, anchor hash, words from ``at`` to the anchor, hashes of all words."""
-    sums = textvec.prefix(w.hashes(), 1)
-    at, gram = textvec.grams(sums, w, GRAM, 1)
-    if not len(at):
-        return {k: np.zeros(0, np.int64) for k in ("row", "at", "before", "len")} | {k: np.zeros(0, np.uint64) for k in ("anchor", "sig", "sig2")}
-    where = np.full(len(w.starts), -1, np.int64)
-    where[at] = np.arange(len(at))
+    """Spans of a slice: row, first window's word ``at`` (in its row), number of windows ``len``, anchor hash, words from ``at`` to the anchor, digest of all words."""
+    at, gram = textvec.grams(w.hashes(), w, GRAM)
     starts = np.flatnonzero(w.row[: len(w.starts) - WINDOW + 1] == w.row[WINDOW - 1 :]) if len(w.starts) >= WINDOW else np.zeros(0, np.int64)
     if not len(starts):
-        return _spans(textvec.Words(w.buf, w.offsets, w.starts[:0], w.ends[:0], w.row[:0], w.first * 0))
+        return {k: np.zeros(0, np.int64) for k in ("row", "at", "before", "len")} | {k: np.zeros(0, np.uint64) for k in ("anchor", "sig", "sig2")}
     full = np.full(len(w.starts), np.iinfo(np.uint64).max, np.uint64)
     full[at] = gram
     view = np.lib.stride_tricks.sliding_window_view(full, _REACH)
@@ -54,12 +64,9 @@ def _spans(w: textvec.Words) -> dict[str, np.ndarray]:
     lo = np.concatenate(([0], breaks))
     hi = np.concatenate((breaks, [len(starts)]))
     first, length = starts[lo], hi - lo
-    other = textvec.prefix(textvec.mix(w.hashes() + np.uint64(77)), 2)
+    digests = _digests(w, first, length + WINDOW - 1)
     row = w.row[first]
-    return {
-        "row": row, "at": first - w.first[row], "len": length, "before": anchor_at[lo] - first, "anchor": full[anchor_at[lo]],
-        "sig": textvec.span_hash(sums, first, first + length + WINDOW - 1, 1), "sig2": textvec.span_hash(other, first, first + length + WINDOW - 1, 2),
-    }
+    return {"row": row, "at": first - w.first[row], "len": length, "before": anchor_at[lo] - first, "anchor": full[anchor_at[lo]], "sig": digests[:, 0], "sig2": digests[:, 1]}
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -72,7 +79,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 take = pa.array(s["row"] + at)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[pa.array(s[k].view(np.int64)) for k in ("anchor", "sig", "sig2")],
+                        *[pa.array(np.ascontiguousarray(s[k]).view(np.int64)) for k in ("anchor", "sig", "sig2")],
                         b.column(1).take(take), b.column(2).take(take),
                         *[pa.array(s[k].astype(np.int32)) for k in ("at", "before", "len")],
                     ],
@@ -166,16 +173,15 @@ def _windows(documents: DataFrame, kinds: DataFrame) -> DataFrame:
             for k in range(b.num_rows):
                 buf = np.frombuffer(unpack.decompress(b.column(0)[k].as_py()), np.uint8)
                 w = textvec.words(buf, np.array([0, len(buf)]))
-                hashes = w.hashes()
-                one, two = textvec.prefix(hashes, 1), textvec.prefix(textvec.mix(hashes + np.uint64(77)), 2)
                 list_ = b.column(2)[k].values
                 f = {n: list_.field(n).to_numpy(zero_copy_only=False) for n in ("anchor", "sig", "sig2", "before", "len", "owner_at")}
                 pick = np.repeat(np.arange(len(f["len"])), f["len"])
                 offset = np.arange(len(pick)) - np.repeat(np.cumsum(f["len"]) - f["len"], f["len"])
                 at = f["owner_at"][pick] + offset
+                digests = _digests(w, at, np.full(len(at), WINDOW))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[pa.array(textvec.span_hash(p, at, at + WINDOW, i).view(np.int64)) for p, i in ((one, 1), (two, 2))],
+                        *[pa.array(np.ascontiguousarray(d).view(np.int64)) for d in digests.T],
                         pa.repeat(b.column(1)[k], len(at)), pa.array(offset.astype(np.int32)),
                         *[pa.array(f[n][pick]) for n in names[4:]],
                     ],
