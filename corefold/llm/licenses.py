@@ -1,12 +1,14 @@
 """License notices in running text: exact base phrases, and a fuzzy search for short notices.
 
 Fuzzy search: a notice that may have k errors is cut into k + 1 pieces, one of which must occur unchanged (the pigeonhole
-principle). One automaton finds all pieces; around each hit the regex library's bounded-error matching verifies the
-notice, and reports the span and the number of edits.
+principle). One automaton finds all pieces; around each hit, and around each alone, the regex library's bounded-error matching verifies the
+notice, and reports the span and the number of edits. Then, of matches of a label that overlap, the best stay. The work is
+linear in the text but for the sorting of its matches.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -44,9 +46,31 @@ NOTICES = {
     "permission to use copy modify and or distribute this software": "isc",
     "all rights reserved": "reserved",
     "spdx license identifier": "spdx",
+    "creative commons attribution noderivatives": "cc-by-nd",
+    "creative commons zero": "cc0",
+    "cc0 1 0 universal": "cc0",
+    "dedicated to the public domain": "public-domain",
+    "gnu free documentation license": "gfdl",
+    "boost software license": "bsl-1.0",
+    "artistic license 2 0": "artistic-2.0",
+    "sil open font license": "ofl-1.1",
+    "open database license": "odbl",
+    "open data commons attribution license": "odc-by",
+    "european union public licence": "eupl",
+    "microsoft public license": "ms-pl",
+    "python software foundation license": "psf",
+    "server side public license": "sspl",
+    "common development and distribution license": "cddl",
+    "the bsd 2 clause license": "bsd",
+    "the bsd 3 clause license": "bsd",
+    "the zlib license": "zlib",
+    "no part of this publication may be reproduced": "reserved",
+    "unauthorized copying of this file": "proprietary",
+    "confidential and proprietary": "proprietary",
+    "for non commercial use only": "non-commercial",
+    "without warranty of any kind": "as-is",
 }
 CHARS_PER_EDIT = 12
-MOST_EDITS = 4
 
 # All but ASCII digits, letters and what is beyond ASCII separates words; A-Z become lower case.
 _CLEAN = bytearray(range(256))
@@ -73,7 +97,7 @@ class Match:
 
 
 def edits_for(notice: str) -> int:
-    return min(MOST_EDITS, len(notice) // CHARS_PER_EDIT)
+    return len(notice) // CHARS_PER_EDIT
 
 
 @cache
@@ -98,32 +122,41 @@ def clean(text: str | None) -> tuple[str, int]:
     return (b" " + b" ".join(found) + b" ").decode(), len(found)
 
 
+def _spaces(cleaned: str) -> np.ndarray:
+    """Places of the spaces: word i stands between the spaces i and i + 1."""
+    return np.flatnonzero(np.frombuffer(cleaned.encode("utf-32-le"), np.uint32) == 32)
+
+
 def fuzzy(cleaned: str) -> list[Match]:
-    """All verified notices, best first for each place: of overlapping matches of a label the one with the fewest edits stays."""
+    """Verified notices by place: of overlapping matches of a label the best stays (fewest edits for its length, then the longest, then the first)."""
     automaton, patterns = _machine()
-    windows: dict[str, list[list[int]]] = {}
+    spans = set()
     for end, (length, where) in automaton.iter(cleaned):
         for notice, offset in where:
             k = edits_for(notice)
-            begin = max(0, end + 1 - length - offset - k - 1)
-            stop = min(len(cleaned), end + 1 - length - offset + len(notice) + k + 1)
-            spans = windows.setdefault(notice, [])
-            if spans and begin <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], stop)
-                spans[-1][0] = min(spans[-1][0], begin)
-            else:
-                spans.append([begin, stop])
+            begin = end + 1 - length - offset
+            spans.add((notice, max(0, begin - k - 1), min(len(cleaned), begin + len(notice) + k + 1)))
+    places = set()
+    for notice, begin, stop in spans:
+        m = patterns[notice].search(cleaned, begin, stop)
+        if m:
+            places.add((notice, m.start(), m.end(), sum(m.fuzzy_counts)))
+    if not places:
+        return []
+    spaces = _spaces(cleaned)
     found = []
-    for notice, spans in windows.items():
-        for begin, stop in spans:
-            for m in patterns[notice].finditer(cleaned, begin, stop):
-                first = cleaned.count(" ", 0, m.start()) - 1
-                found.append(Match(NOTICES[notice], notice, sum(m.fuzzy_counts), m.start(), m.end(), first, first + m.group().strip().count(" ") + 1))
+    for notice, start, end, edits in places:
+        first = int(np.searchsorted(spaces, start)) - 1
+        found.append(Match(NOTICES[notice], notice, edits, start, end, first, first + cleaned[start:end].strip().count(" ") + 1))
+    kept: dict[str, list[tuple[int, int]]] = {}
     best: list[Match] = []
-    for m in sorted(found, key=lambda m: (-m.score, -len(m.notice), m.start, m.label)):
-        if not any(m.label == x.label and m.start < x.end and x.start < m.end for x in best):
+    for m in sorted(found, key=lambda m: (-m.score, -len(m.notice), m.start, m.end, m.label)):
+        taken = kept.setdefault(m.label, [])  # disjoint, in order
+        at = bisect_left(taken, (m.end,))
+        if at == 0 or taken[at - 1][1] <= m.start:
+            insort(taken, (m.start, m.end))
             best.append(m)
-    return best
+    return sorted(best, key=lambda m: (m.start, m.label))
 
 
 def base_places(cleaned: str) -> list[tuple[int, str]]:
@@ -132,13 +165,17 @@ def base_places(cleaned: str) -> list[tuple[int, str]]:
     for phrase, label in BASE.items():
         at = cleaned.find(f" {phrase} ")
         while at >= 0:
-            out.append((cleaned.count(" ", 0, at), label))
+            out.append((at, label))
             at = cleaned.find(f" {phrase} ", at + 1)
-    return out
+    if not out:
+        return []
+    words = np.searchsorted(_spaces(cleaned), np.array([at for at, _ in out])).tolist()
+    return [(word, label) for word, (_, label) in zip(words, out)]
 
 
 def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and ``n_words, n_base, first_word, last_word, base_labels, labels, score, matches``; null texts count as empty.
+    """The columns ``keep`` and ``n_words, n_base, first_word, last_word, base_labels, labels, score, matches``; null texts count as empty, texts of any length
+    are read whole, and each row stands for itself.
 
     ``score`` is 1 where a base phrase stands, else the best fuzzy match's share of unchanged characters, else 0. ``matches`` has each verified notice with its
     edits and its span in words.
@@ -156,7 +193,7 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
         own = {label for _, label in base}
         starts = [at for at, _ in base]
         best = 1.0 if base else max((m.score for m in fuzz), default=0.0)
-        spans = [{"label": m.label, "notice": m.notice, "edits": m.edits, "first_word": m.first_word, "end_word": m.end_word} for m in sorted(fuzz, key=lambda m: (m.start, m.label))]
+        spans = [{"label": m.label, "notice": m.notice, "edits": m.edits, "first_word": m.first_word, "end_word": m.end_word} for m in fuzz]
         return n, len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(own)), ",".join(sorted(own | {m.label for m in fuzz})), best, spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,8 @@
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from corefold.llm import licenses
 
@@ -63,5 +66,20 @@ def test_base_and_fuzzy_match_brute_force(spark):
             assert distance(" ".join(words_of(text)[m.first_word : m.end_word]), m.notice) == m.edits
 
 
+def test_neighbouring_notices_are_each_found():
+    for gap in ("", "x ", "and then "):
+        cleaned, _ = licenses.clean(f"relesed under the mit license {gap}released under the mit license")
+        assert [(m.label, m.edits, m.first_word) for m in licenses.fuzzy(cleaned)] == [("mit", 1, 0), ("mit", 0, 5 + len(gap.split()))]
+
+
+def test_long_texts_take_linear_time(spark):
+    texts = ["cc by " * 1_700_000, "filler words " * 700_000 + "all rights reserved", "relesed under the mit license " * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: r for r in licenses.scan(docs).select("doc_id", "n_base", "last_word", F.size("matches").alias("n")).collect()}
+    assert (got[0].n_base, got[0].last_word) == (1_700_000, 3_399_998) and got[1].n_base == 1 and got[2].n == 3000
+    assert time.monotonic() - began < 120
+
+
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
