@@ -2,8 +2,8 @@
 
 The model's protobuf is parsed here; normaliser, metaspace marker, scores and byte fallback are rebuilt from it. A unigram
 model becomes a Unigram over its scores; a BPE model's merges follow from its scores: of all pairs that join to a piece,
-those of better pieces come first. Batches are encoded on several threads. Where the sentencepiece library is present,
-each text's ids are compared with its ids (``parity``).
+those of better pieces come first. Batches of whole texts are encoded on several threads. Each text's ids are compared with the sentencepiece library's
+(``parity``), and decoded again (``round_trip``).
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +27,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 BATCH_BYTES = 1 << 20
-MOST_WORDS = 1_000_000  # of the words whose ids a worker keeps
 THREADS = 2
-RUN = 500  # words that are verified as one text
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -106,12 +103,14 @@ def merges(m: Model) -> list[tuple[str, str]]:
 
 
 def build(m: Model):
-    """A ``tokenizers.Tokenizer`` that encodes as the model does, without control symbols."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+    """A ``tokenizers.Tokenizer`` that encodes as the model does, without control symbols. In BPE models, user-defined symbols are always pieces of their own."""
+    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
     unknown = next((i for i, p in enumerate(m.pieces) if p[2] == UNKNOWN), None)
     if m.kind == UNIGRAM:
-        core = models.Unigram([(p, s) for p, s, _ in m.pieces], unknown, m.byte_fallback)
+        # A user-defined symbol scores as its bytes would at best, less a little.
+        top = max((s for _, s, kind in m.pieces if kind == NORMAL), default=0.0)
+        core = models.Unigram([(p, len(p.encode()) * top - 0.1 if kind == USER else s) for p, s, kind in m.pieces], unknown, m.byte_fallback)
     elif m.kind == BPE:
         core = models.BPE({p: i for i, (p, _, _) in enumerate(m.pieces)}, merges(m), unk_token=m.pieces[unknown][0] if unknown is not None else None, fuse_unk=True, byte_fallback=m.byte_fallback)
     else:
@@ -131,83 +130,46 @@ def build(m: Model):
         longest = max([0, *(len(p) for p, _, _ in m.pieces if p.strip(MARK) == "")])
         runs = f"{MARK}{{{longest}}}(?={MARK})|" if longest > 1 else ""
         t.pre_tokenizer = pre_tokenizers.Split(Regex(f"{runs}{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
+    if m.kind == BPE:
+        t.add_tokens([AddedToken(p, normalized=False, special=False) for p, _, kind in m.pieces if kind == USER])
     t.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *([decoders.Strip(" ", 1, 0)] if m.dummy_prefix else [])])
     return t
 
 
 class Codec:
-    """Encodes and decodes batches with one model."""
+    """Encodes and decodes batches with one model. It keeps nothing of the texts."""
 
     def __init__(self, data: bytes, parity: bool = True):
         self.model = Model.parse(data)
         self.tokenizer = build(self.model)
+        self.before = None
+        if self.model.kind == BPE and any(kind == USER for _, _, kind in self.model.pieces):
+            # User-defined symbols cut a text in parts; it is normalised as a whole first, so that only its start gets a marker.
+            self.before, self.tokenizer.normalizer = self.tokenizer.normalizer, None
         self.other = None
-        m = self.model
-        plain = not (m.charsmap or m.remove_extra_spaces or m.suffix_space) and m.dummy_prefix and m.escape_spaces
-        #: Whether a text's ids are those of its words in a row: no normalising, and no piece that reaches over a space.
-        self.by_word = m.kind == BPE and plain and not any(MARK in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER))
-        self.known: dict[str, bytes] = {}
-        #: Words whose ids differ from the sentencepiece library's, and words that don't decode to themselves.
-        self.unlike: set[str] = set()
-        self.lossy: set[str] = set()
         if parity:
             import sentencepiece
 
             self.other = sentencepiece.SentencePieceProcessor(model_proto=data)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [ids for ids, _, _ in self.verified(texts, False)]
+        if self.before is not None:
+            texts = [self.before.normalize_str(t) if t else t for t in texts]
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def verified(self, texts: list[str], verify: bool = True) -> list[tuple[np.ndarray, bool | None, bool | None]]:
-        """(ids, parity, round trip) of each text.
-
-        Where ids go by words, each distinct word is encoded and verified once, and a text's verdict is that of its words; other texts
-        are verified as a whole.
-        """
-        out: list = [None] * len(texts)
-        split = [(i, t.split(" ")) for i, t in enumerate(texts) if self.by_word and t and "  " not in t and t[0] != " " and t[-1] != " " and MARK not in t]
-        if split:
-            new = list(set(chain.from_iterable(w for _, w in split)).difference(self.known))
-            listed = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            ends = np.cumsum([len(x) for x in listed])
-            flat = np.fromiter(chain.from_iterable(listed), np.int32)
-            raw, at = flat.tobytes(), (4 * ends).tolist()
-            self.known.update(zip(new, (raw[i:j] for i, j in zip([0, *at], at))))
-            if verify:
-                self._verify(new, flat, ends)
-            get = self.known.__getitem__
-            for i, found in split:
-                array = np.frombuffer(b"".join(map(get, found)), np.int32)
-                out[i] = (array, *((None if self.other is None else self.unlike.isdisjoint(found), self.lossy.isdisjoint(found)) if verify else (None, None)))
-            if len(self.known) > MOST_WORDS:
-                self.known.clear()
-        rest = [i for i, x in enumerate(out) if x is None]
-        whole = [texts[i] for i in rest]
-        ids = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
-        parity = self.same(whole, ids) if verify else [None] * len(ids)
-        back = [x == t.replace(MARK, " ") for x, t in zip(self.decode(ids), whole)] if verify else [None] * len(ids)
-        for i, *verdict in zip(rest, ids, parity, back):
-            out[i] = tuple(verdict)
-        return out
-
-    def _verify(self, found: list[str], flat: np.ndarray, ends: np.ndarray) -> None:
-        """Note the words that fail. Runs of words are verified as one text, which also shows that ids go by words; in a run that differs, each word is."""
-        for lo in range(0, len(found), RUN):
-            part = found[lo : lo + RUN]
-            cuts = ends[lo : lo + len(part)]
-            first = ends[lo - 1] if lo else 0
-            ids, text = flat[first : cuts[-1]], " ".join(part)
-            single = lambda: np.split(ids, cuts[:-1] - first)
-            if self.other is not None and not np.array_equal(self.other.encode(text, num_threads=1), ids):
-                self.unlike.update([w for w, ok in zip(part, self.same(part, single())) if not ok] or part)
-            if self.decode([ids])[0] != text:
-                self.lossy.update([w for w, back in zip(part, self.decode(single())) if back != w] or part)
+        """(ids, parity, round trip) of each text, each over the whole text."""
+        ids = self.encode(texts)
+        if not verify:
+            return [(x, None, None) for x in ids]
+        back = [x == t.replace(MARK, " ") for x, t in zip(self.decode(ids), texts)]
+        return list(zip(ids, self.same(texts, ids), back))
 
     def decode(self, ids: list) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
     def same(self, texts: list[str], ids: list[np.ndarray]) -> list[bool | None]:
-        """Whether the sentencepiece library gives the same ids; None where it is absent."""
+        """Whether the sentencepiece library gives the same ids; None without ``parity``."""
         if self.other is None:
             return [None] * len(texts)
         return [a == b.tolist() for a, b in zip(self.other.encode(texts, num_threads=THREADS), ids)]
@@ -215,7 +177,7 @@ class Codec:
 
 @lru_cache(maxsize=1)
 def _codec(data: bytes, parity: bool) -> Codec:
-    """One codec for all tasks of a worker process: what it knows of words is used again."""
+    """One codec for all tasks of a worker process."""
     return Codec(data, parity)
 
 
@@ -227,8 +189,8 @@ def read_model(path: str) -> bytes:
 def encoded(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str, ...] = ("doc_id",), verify: bool = True) -> DataFrame:
     """The columns ``keep`` and ``ids`` (array of int), ``n_bytes`` (ids that stand for single bytes), ``parity`` and ``round_trip``.
 
-    ``verify`` compares ids with the sentencepiece library's, and decoded ids with the text itself, as ``Codec.verified`` says; else both are null. Null texts
-    count as empty. A text that holds the marker character decodes to a space there, as the format has it.
+    ``verify`` compares each text's ids with the sentencepiece library's, and the decoded ids with the text itself; else both are null. Null texts
+    count as empty; texts of any length are encoded whole, in batches of about ``BATCH_BYTES`` and at least one text, and repeated rows each for itself. A text that holds the marker character decodes to a space there, as the format has it.
     """
     schema = docs.select(*keep).schema.add("ids", DataType.fromDDL("array<int>")).add("n_bytes", "long").add("parity", "boolean").add("round_trip", "boolean")
 

@@ -35,18 +35,16 @@ def test_parity_and_round_trip_on_odd_texts(spark, data):
     assert any(r.n_bytes for r in got)
 
 
-def test_ids_by_words_are_those_of_whole_texts(data):
-    pytest.importorskip("sentencepiece")
+def test_every_text_is_verified_as_a_whole(data):
     rng = random.Random(5)
     words = ["the", "cat\nsat", "é", "日本", "😀", "\t", "x\x00y", "aaaa", "Straße,", "ing", "<s>"]
     texts = [" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(300)]
     codec = sp.Codec(data)
     found = codec.verified(texts)
-    assert codec.by_word and not codec.unlike and not codec.lossy and all(p and r for _, p, r in found)
-    assert all(codec.same(texts, [ids for ids, _, _ in found]))
-    assert codec.decode([ids for ids, _, _ in found]) == texts
-    codec.known["the"] = codec.known["ing"]
-    assert not all(codec.same(["the cat"], codec.encode(["the cat"])))
+    assert all(p and r for _, p, r in found) and codec.decode([ids for ids, _, _ in found]) == texts
+    encode = codec.encode
+    codec.encode = lambda texts: [ids[::-1] if i == 7 else ids for i, ids in enumerate(encode(texts))]
+    assert [i for i, (_, p, r) in enumerate(codec.verified(texts)) if not (p and r)] == [7]
 
 
 def _field(number, value):
@@ -83,6 +81,27 @@ def test_unigram_model_takes_the_best_segmentation():
     assert [rows[i][0] for i in codec.encode(["aé"])[0]][-2:] == ["<0xC3>", "<0xA9>"]
 
 
+def _model(scores, kind=sp.UNIGRAM, user=(), fallback=1, spaces=1):
+    rows = [("<unk>", 0.0, sp.UNKNOWN)] + [(p, s, sp.NORMAL) for p, s in scores.items()] + [(p, 0.0, sp.USER) for p in user]
+    rows += [(f"<0x{i:02X}>", 0.0, sp.BYTE) for i in range(256)] if fallback else []
+    body = b"".join(_field(1, _field(1, p.encode()) + bytes([2 << 3 | 5]) + struct.pack("<f", s) + _field(3, k)) for p, s, k in rows)
+    return body + _field(2, _field(3, kind) + _field(35, fallback)) + _field(3, _field(3, 1) + _field(4, spaces) + _field(5, 1))
+
+
+def test_unigram_table_and_user_symbols_have_parity(spark):
+    scores = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -2.21, "▁ab": -4.63, "ba": -3.17, "aba": -6.09, "▁a": -3.94, "[": -7.0, "]": -7.1}
+    rng = random.Random(4)
+    texts = ["", "a"] + ["".join(rng.choices("aaabb [", k=rng.randint(1, 30))).strip() for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sp.encoded(docs, _model(scores)).collect()
+    assert len(got) == len(texts) and all(r.parity for r in got)
+    merged = {p: float(-i) for i, p in enumerate(["ab", "▁a", "▁ab", "▁", "a", "b", "[", "]"])}
+    marked = ["a [ab] b", "[ab]", "ab[ab]", "b[ab]a ab[ a", "a", "[ab][ab]", "ba]["]
+    for model in (_model(scores, user=("[ab]", "ab[")), _model(merged, sp.BPE, user=("[ab]", "ab["))):
+        codec = sp.Codec(model)
+        assert [t for t, (_, parity, _) in zip(marked, codec.verified(marked)) if not parity] == []
+
+
 def test_not_a_model_and_empty_table(spark, data):
     with pytest.raises(ValueError):
         sp.Model.parse(b"\x0f\x0f")
