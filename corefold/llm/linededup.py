@@ -3,15 +3,15 @@
 A line is the text between line feeds without the white space around it; those without a word don't count. A collision-resistant digest (BLAKE2b, 128 bits) stands for a line, shifted by
 its ordinal among equal lines of its document, so that in every document all of these *tokens* differ and any can anchor.
 
-Documents overlap where they share tokens. A token's home is the first document (smallest id) that has it, and a later
-document that has it is paired with that home: a line in very many documents makes as many links, not their square, and none
-is dropped for being frequent; a rare line links just the documents that overlap. Each pair is aligned by patience: the longest run of common tokens that rises in both
-documents. From the later document go the blocks (runs of aligned lines, whichever earlier documents they align with) of
-``MIN_BLOCK_WORDS`` words or more.
-
-With ``every``, a line that its home's alignment drops is *open* if its block could be long enough, and is tried with all its other earlier
-holders, over all the tokens that the two documents share, until one of them aligns it. So a line is aligned if its home or any
-earlier document aligns it, and only open lines cost more than one link. Holders are tried in growing ranges of their rank.
+Documents overlap where they share rare lines: a token that ``RARE`` rows at most hold pairs each of them with all earlier ones. A token in more documents is
+linked with the first that has it, its home: so a line in very many documents makes as many links, not their square, and none
+is dropped for being frequent. Each pair is aligned by patience: the longest run of the tokens that link it which rises in both
+documents. A line that no such alignment has is *open* if its block could be long enough, and is tried with all its other earlier
+holders, over all the tokens that the two documents share, until one of them aligns it. Only open lines cost more than their links. Holders are
+tried in growing ranges of their rank.
+
+From the later document go the blocks (runs of aligned lines, whichever earlier documents they align with) of ``MIN_BLOCK_WORDS`` words or more: a
+shorter run is no passage.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from . import scratch, textvec
 
 MIN_BLOCK_WORDS = 8
+RARE = 4
 HOLDERS = 16  # ranks of an open line's holders that the first round tries; each further round goes up to so many times more
 
 TOKENS = "k1 bigint, k2 bigint, doc_id bigint, text_key bigint, at int, words int"
@@ -58,13 +59,8 @@ def _tokens(w: textvec.Words) -> dict[str, np.ndarray]:
     return {"row": row, "at": np.arange(len(first)) - np.searchsorted(row, row), "words": last - first + 1, "k1": one + salt, "k2": two}
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows that repeat an id are told apart by a hash of their text."""
-    return docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")).withColumn("__text_key", F.xxhash64("text"))
-
-
 def tokens(docs: DataFrame) -> DataFrame:
-    """``TOKENS`` of all documents with an id."""
+    """``TOKENS`` of all documents with an id. Rows that repeat an id are told apart by a hash of their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -79,7 +75,8 @@ def tokens(docs: DataFrame) -> DataFrame:
                     names=["k1", "k2", "doc_id", "text_key", "at", "words"],
                 )
 
-    return _keyed(docs.select("doc_id", "text")).where("doc_id IS NOT NULL").select("text", "doc_id", F.col("__text_key").alias("text_key")).mapInArrow(run, TOKENS)
+    named = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id")).withColumn("text_key", F.xxhash64("text"))
+    return named.where("doc_id IS NOT NULL").mapInArrow(run, TOKENS)
 
 
 def rising(values: np.ndarray) -> list[int]:
@@ -99,14 +96,16 @@ def rising(values: np.ndarray) -> list[int]:
     return out[::-1]
 
 
-def aligned(pair: np.ndarray, at: np.ndarray, home_at: np.ndarray) -> np.ndarray:
-    """Of one later document's common tokens: which are aligned. ``pair`` numbers the homes."""
+def aligned(pair: np.ndarray, at: np.ndarray, other_at: np.ndarray) -> np.ndarray:
+    """The lines ``at`` of one later document that some alignment has. ``pair`` numbers the earlier documents."""
     order = np.lexsort((at, pair))
-    cuts = np.flatnonzero(np.diff(pair[order])) + 1
-    kept = np.zeros(len(pair), bool)
-    for lo, hi in zip([0, *cuts], [*cuts, len(pair)]):
-        kept[order[lo:hi][rising(home_at[order[lo:hi]])]] = True
-    return kept
+    pair, at, other_at = pair[order], at[order], other_at[order]
+    new = np.ones(len(at), bool)  # a repeated row brings each token twice
+    new[1:] = (pair[1:] != pair[:-1]) | (at[1:] != at[:-1])
+    pair, at, other_at = pair[new], at[new], other_at[new]
+    cuts = np.flatnonzero(np.diff(pair)) + 1
+    kept = [at[lo:hi][rising(other_at[lo:hi])] for lo, hi in zip([0, *cuts], [*cuts, len(pair)])]
+    return np.unique(np.concatenate(kept))
 
 
 def blocks(at: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
@@ -117,21 +116,33 @@ def blocks(at: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
     return np.bincount(block, weights=words)[block] >= least
 
 
-def _first_aligned(found: DataFrame, least: int) -> DataFrame:
-    """Alignment with the homes: ``doc_id, text_key``, the lines that have an earlier home (``at``, ``words``), those ``done`` (aligned) and those ``open``, and the lines ``gone``."""
-    home = found.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "text_key", "at")).alias("home"), F.max("doc_id").alias("high")).where("home.doc_id < high")
-    common = found.join(home.select("k1", "k2", F.col("home.doc_id").alias("home_id"), F.col("home.text_key").alias("home_key"), F.col("home.at").alias("home_at")), ["k1", "k2"]).where("home_id < doc_id")
-    grouped = common.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(F.xxhash64("home_id", "home_key").alias("pair"), "at", "home_at", "words")).alias("common"))
+def _shared(found: DataFrame) -> DataFrame:
+    """The tokens that more than one document has, with their ``home_id, home_key, home_at`` and the number ``n`` of rows that hold them.
+
+    The counts are written first: the join then shuffles both sides by itself, which lets Spark split a line that very many documents have.
+    """
+    counts = found.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "text_key", "at")).alias("home"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("home.doc_id < high")
+    counts, _ = scratch.table(counts.select("k1", "k2", F.col("home.doc_id").alias("home_id"), F.col("home.text_key").alias("home_key"), F.col("home.at").alias("home_at"), "n"), "lines-counts")
+    return scratch.table(found.join(counts, ["k1", "k2"]), "lines-shared")[0]
+
+
+def _first_aligned(shared: DataFrame, least: int) -> DataFrame:
+    """Alignment of the linked pairs: ``doc_id, text_key``, the lines that an earlier document has (``at``, ``words``), those ``done`` (aligned) and those ``open``, and the lines ``gone``."""
+    later = ["doc_id", "text_key", "at", "words"]
+    homes = shared.where((F.col("n") > RARE) & (F.col("home_id") < F.col("doc_id"))).select(*later, "home_id", "home_key", "home_at")
+    rare = shared.where(F.col("n") <= RARE)
+    holders = rare.select("k1", "k2", F.col("doc_id").alias("home_id"), F.col("text_key").alias("home_key"), F.col("at").alias("home_at"))
+    links = homes.union(rare.select("k1", "k2", *later).join(holders, ["k1", "k2"]).where("home_id < doc_id").select(*later, "home_id", "home_key", "home_at"))
+    grouped = links.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(F.xxhash64("home_id", "home_key").alias("pair"), "at", "home_at", "words")).alias("common"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in textvec.chunks(batches):
             out: list[list[np.ndarray]] = [[] for _ in range(5)]
             for row in b.column(2):
                 pair, at, home_at, words = (row.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-                if len(at):  # a repeated row brings each token twice
-                    _, first = np.unique(at, return_index=True)
-                    pair, at, home_at, words = pair[first], at[first], home_at[first], words[first]
-                done = aligned(pair, at, home_at)
+                lines = aligned(pair, at, home_at)
+                at, first = np.unique(at, return_index=True)
+                words, done = words[first], np.isin(at, lines)
                 gone = at[done][blocks(at[done], words[done], least)]
                 for values, v in zip(out, (at, words, at[done], at[~done & blocks(at, words, least)], gone)):
                     values.append(v.astype(np.int32))
@@ -159,6 +170,17 @@ def _pair_aligned(pairs: DataFrame, mine: DataFrame, found: DataFrame) -> DataFr
     return lines.groupBy("doc_id", "text_key").agg(F.array_distinct(F.flatten(F.collect_list("more"))).alias("more"))
 
 
+def _ranked(held: DataFrame) -> DataFrame:
+    """Each token's holders with their ``rank`` by id. They are dealt to ranges, counted there, and shifted by the ranges before, so that a frequent line spans many tasks."""
+    order = ["k1", "k2", "e_id", "e_key"]
+    dealt, _ = scratch.table(held.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "lines-held")
+    counts = dealt.groupBy("k1", "k2", "range").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("k1", "k2").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # over one row for each range
+    shifts, _ = scratch.table(counts.select("k1", "k2", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")), "lines-shifts")
+    local = F.row_number().over(Window.partitionBy("k1", "k2", "range").orderBy("e_id", "e_key"))
+    return dealt.withColumn("local", local).join(shifts, ["k1", "k2", "range"]).select(*order, (F.col("local") + F.col("shift")).alias("rank"))
+
+
 def _settled(found: DataFrame, state: DataFrame, least: int) -> DataFrame:
     """``(doc_id, text_key, gone)`` of the documents of ``state`` that have open lines, once all earlier holders of these have been tried."""
     state = state.where(F.size("open") > 0).select("doc_id", "text_key", "at", "words", "done", "open")
@@ -166,7 +188,7 @@ def _settled(found: DataFrame, state: DataFrame, least: int) -> DataFrame:
     keys = lambda s: s.select("doc_id", "text_key", F.explode("open").alias("at")).join(mine, ["doc_id", "text_key", "at"]).select("doc_id", "text_key", "k1", "k2")
     asked = keys(state).groupBy("k1", "k2").agg(F.max("doc_id").alias("high"))
     held = found.join(asked, ["k1", "k2"]).where("doc_id < high").select("k1", "k2", F.col("doc_id").alias("e_id"), F.col("text_key").alias("e_key")).distinct()
-    holders, _ = scratch.table(held.withColumn("rank", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("e_id", "e_key"))), "lines-holders")
+    holders, _ = scratch.table(_ranked(held), "lines-holders")
     most = holders.agg(F.max("rank")).first()[0] or 0
     # An equal text aligns all lines, whatever its rank.
     firsts = found.where("at = 0").join(state.select("text_key").distinct(), "text_key").groupBy("text_key").agg(F.min("doc_id").alias("e_id"))
@@ -193,13 +215,12 @@ def _settled(found: DataFrame, state: DataFrame, least: int) -> DataFrame:
     return state.select("doc_id", "text_key", "at", "words", "done").mapInArrow(run, "doc_id bigint, text_key bigint, gone array<int>")
 
 
-def repeated(docs: DataFrame, least: int = MIN_BLOCK_WORDS, every: bool = False) -> DataFrame:
+def repeated(docs: DataFrame, least: int = MIN_BLOCK_WORDS) -> DataFrame:
     """``(doc_id, text_key, gone)``: ordinals of the lines to delete, for the documents that have such."""
-    if not every:
-        return _first_aligned(tokens(docs), least).select("doc_id", "text_key", "gone").where(F.size("gone") > 0)
     found, _ = scratch.table(tokens(docs), "lines-tokens")
-    state, _ = scratch.table(_first_aligned(found, least).where("size(open) > 0 OR size(gone) > 0"), "lines-first")
-    return state.where("size(open) = 0").select("doc_id", "text_key", "gone").union(_settled(found, state, least)).where(F.size("gone") > 0)
+    shared = _shared(found)
+    state, _ = scratch.table(_first_aligned(shared, least).where("size(open) > 0 OR size(gone) > 0"), "lines-first")
+    return state.where("size(open) = 0").select("doc_id", "text_key", "gone").union(_settled(shared, state, least)).where(F.size("gone") > 0)
 
 
 def without(text: str, gone: np.ndarray) -> tuple[str, int]:
@@ -214,18 +235,17 @@ def without(text: str, gone: np.ndarray) -> tuple[str, int]:
     return "\n".join(kept), n
 
 
-def dedup(docs: DataFrame, least: int = MIN_BLOCK_WORDS, every: bool = False) -> DataFrame:
-    """``docs`` (with ``doc_id`` and ``text``) with the repeated lines deleted from ``text``, and ``__n_lines, __n_removed`` (lines with words).
-
-    Lines are aligned with their homes only, or with ``every`` earlier document that has them.
+def dedup(docs: DataFrame, least: int = MIN_BLOCK_WORDS, counts: tuple[str, str] = ("__n_lines", "__n_removed")) -> DataFrame:
+    """``docs`` (with ``doc_id`` and ``text``) with the repeated lines deleted from ``text``, and the columns ``counts``: its lines that have words, and how many of them were deleted.
 
-    All rows and columns stay; a text of which nothing is left is empty. Null texts stay null. Rows with a null id neither
-    own nor lose lines; rows that repeat an id don't remove each other's lines.
+    All rows stay, and all columns whatever their names, but those named like ``counts``. A text of which nothing is left is empty; null texts stay null; texts of
+    any length are read whole. Rows with a null id neither own nor lose lines; rows that repeat an id don't remove each other's lines.
     """
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    schema = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *rest).schema
-    packed_schema = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("__text_key"), *rest).schema.add("__packed", "binary")
-    out_schema = schema.add("__n_lines", "long").add("__n_removed", "long")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", *counts)]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("int")
+    source = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), row.alias("row")).withColumn("key", F.xxhash64("text"))
+    packed_schema = source.select("doc_id", "row", "key").schema.add("packed", "binary")
+    out_schema = source.select("doc_id", "row").schema.add("text", "string").add("n_lines", "long").add("n_removed", "long")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
@@ -244,9 +264,10 @@ def dedup(docs: DataFrame, least: int = MIN_BLOCK_WORDS, every: bool = False) ->
                 texts.append(text)
                 n_lines.append(n)
                 n_gone.append(len(lost))
-            yield pa.RecordBatch.from_arrays([b.column(2), pa.array(texts, pa.string()), *b.columns[3:], pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64())], names=out_schema.names)
+            yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64())], names=out_schema.names)
 
-    packed = _keyed(docs).select("text", "doc_id", "__text_key", *rest).mapInArrow(pack, packed_schema)
-    gone = repeated(docs, least, every).select(F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__key"), F.col("gone").alias("__gone"))
-    joined = packed.join(gone, (packed.doc_id == gone["__doc_id"]) & (packed["__text_key"] == gone["__key"]), "left")
-    return joined.select("__gone", "__packed", "doc_id", *rest).mapInArrow(cut, out_schema).select(*docs.columns, "__n_lines", "__n_removed")
+    packed = source.select("text", "doc_id", "row", "key").mapInArrow(pack, packed_schema)
+    gone = repeated(docs, least).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "gone")
+    joined = packed.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left")
+    out = joined.select("gone", "packed", "doc_id", "row").mapInArrow(cut, out_schema)
+    return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"row.`{c}`") for c in docs.columns if c not in counts], *[F.col(c).alias(name) for c, name in zip(("n_lines", "n_removed"), counts)])

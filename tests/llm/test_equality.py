@@ -22,7 +22,7 @@ def test_thue_morse_words_differ(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.n_removed for r in substring.dedup_table(docs).collect()} == {1: 0, 2: 0, 3: 61}
     lines = spark.createDataFrame([(1, f"{x} and eight more words to make a block"), (2, f"{y} and eight more words to make a block")], "doc_id long, text string")
-    assert {r["__n_removed"] for r in linededup.dedup(lines, every=True).collect()} == {0}
+    assert {r["__n_removed"] for r in linededup.dedup(lines).collect()} == {0}
     buf = np.frombuffer(f"{x}\n{y}\n{x}".encode(), np.uint8)
     assert quality.counts(textvec.words(buf, np.array([0, len(buf)])))["n_dup_lines"].tolist() == [1]
 

@@ -4,17 +4,25 @@ from itertools import combinations
 
 import numpy as np
 
-from corefold.llm import linededup
+from corefold.llm import linededup, queries
 
 SPACES = " \t\n\v\f\r"
 
 
-def lcs_tokens(common):
-    """A longest rising run by quadratic programming: its length only."""
-    best = []
-    for i, (_, q) in enumerate(common):
-        best.append(1 + max((best[j] for j in range(i) if common[j][1] < q), default=0))
-    return max(best, default=0)
+def longest_rising(values):
+    """A longest rising run by quadratic programming; among equals the smallest last value, and so on backwards."""
+    best, before = [], []
+    for i, v in enumerate(values):
+        below = [j for j in range(i) if values[j] < v]
+        best.append(1 + max((best[j] for j in below), default=0))
+        before.append(min((j for j in range(i) if best[j] == best[i] - 1), key=lambda j: values[j], default=None))
+    if not values:
+        return []
+    out, i = [], min((i for i in range(len(values)) if best[i] == max(best)), key=lambda i: values[i])
+    while i is not None:
+        out.append(i)
+        i = before[i] if best[i] > 1 else None
+    return out[::-1]
 
 
 def token_lists(rows):
@@ -31,26 +39,26 @@ def token_lists(rows):
 
 
 def brute(rows, least):
-    """Kept texts, by an alignment written anew: homes by scanning, the rising run as linededup breaks ties (smallest tails)."""
+    """Kept texts. A line is aligned if a longest rising run has it: of the tokens that link a pair, or of all that it shares with any earlier document."""
     listed = token_lists(rows)
-    home = {}
-    for d, t, tokens in sorted((x for x in listed if x[0] is not None), key=lambda x: x[0]):
+    earlier = sorted((x for x in listed if x[0] is not None), key=lambda x: x[0])
+    holders = {}
+    for d, t, tokens in earlier:
         for q, tok in enumerate(tokens):
-            if tok not in home:
-                home[tok] = (d, q)
+            holders.setdefault(tok, []).append((d, q))
     out = []
     for d, t, tokens in listed:
         aligned = set()
         if d is not None:
             pairs = {}
             for p, tok in enumerate(tokens):
-                if home[tok][0] < d:
-                    pairs.setdefault(home[tok][0], []).append((p, home[tok][1]))
+                for e, q in holders[tok]:
+                    if e < d:
+                        pairs.setdefault(("all", e), []).append((p, q))
+                        if len(holders[tok]) <= linededup.RARE or e == holders[tok][0][0]:
+                            pairs.setdefault(("linked", e), []).append((p, q))
             for common in pairs.values():
-                run = linededup.rising(np.array([q for _, q in common]))
-                assert len(run) == lcs_tokens(common)
-                assert all(common[a][1] < common[b][1] for a, b in zip(run, run[1:]))
-                aligned |= {common[i][0] for i in run}
+                aligned |= {common[i][0] for i in longest_rising([q for _, q in common])}
         gone, block = set(), []
         for p in [*sorted(aligned), None]:
             if block and p != block[-1] + 1:
@@ -106,7 +114,33 @@ def test_rising_is_longest_on_all_small_inputs():
     for n in range(7):
         for values in combinations(range(8), n):
             mixed = [v * 5 % 8 for v in values]
-            assert len(linededup.rising(np.array(mixed))) == lcs_tokens(list(enumerate(mixed)))
+            assert linededup.rising(np.array(mixed)) == longest_rising(mixed)
+
+
+def test_copies_go_whole_whatever_order_earlier_documents_have(spark, tmp_path):
+    lines = [f"line {i} of this passage has as many as twelve words in all {i}" for i in range(10)]
+    texts = [(1, "\n".join(reversed(lines))), (2, "\n".join(lines)), (3, "\n".join(lines)), (4, "\n".join(lines[5:] + lines[:5]))]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_removed for r in queries.op7_lines(spark, str(tmp_path)).collect()}
+    assert got[1] == 0 and got[3] == 10 and got[2] == 1
+    assert got == {d: n for d, _, _, n in brute(texts, linededup.MIN_BLOCK_WORDS)}
+
+
+def test_frequent_and_scrambled_lines_in_several_rounds(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "HOLDERS", 2)
+    rng = random.Random(5)
+    lines = [f"w{i} x{i} y{i}" * rng.choice([1, 2, 4]) for i in range(12)]
+    rows = [(i, "\n".join(rng.sample(lines, rng.randint(1, 9)))) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (None, rows[9][1])], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text, r["__n_lines"], r["__n_removed"]) for r in linededup.dedup(docs).collect() if r.doc_id is not None), key=str)
+    assert got == brute(rows, linededup.MIN_BLOCK_WORDS)
+
+
+def test_columns_with_clashing_names_stay(spark):
+    names = ["__packed", "__gone", "__key", "__text_key", "__doc_id", "n_lines", "row", "gone", "packed", "key"]
+    docs = spark.createDataFrame([(1, "a b", *range(10)), (2, "c d", *range(10))], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    out = linededup.dedup(docs, counts=("n_lines_", "n_removed_"))
+    assert out.columns == [*docs.columns, "n_lines_", "n_removed_"] and sorted(tuple(r)[2:12] for r in out.collect()) == [tuple(range(10))] * 2
 
 
 def test_empty_table(spark):
