@@ -1,30 +1,33 @@
 """Word lists and tables. All are fixed values that results depend on."""
 
 # Legal forms that are stripped from names.
-LEGAL = (
-    "associates bv center co company consultants corp corporation enterprises gmbh group holdings inc incorporated international intl "
-    "limited llc llp lp ltd pc plc pllc private pvt sa sarl services solutions"
-).split()
+LEGAL = [
+    "inc", "incorporated", "llc", "ltd", "limited", "corp", "corporation", "co", "company", "llp", "pvt", "private", "gmbh", "sa", "sarl", "bv",
+    "plc", "lp", "pc", "pllc", "holdings", "group", "services", "center", "enterprises", "associates", "consultants", "solutions", "international", "intl",
+]
 
 # Generic words that block no candidate on their own.
-STOPWORDS = (
-    "a agency an and associates at care center centre clinic co commercial company consultants consulting corp corporation dept direct division "
-    "enterprise enterprises for global gmbh group health holding holdings hospital in inc incorporated industries international limited llc llp ltd "
-    "management mart medical national of on private production products pvt service services shop solution solutions store system systems tech "
-    "technologies technology the to trade traders trading"
-).split()
+STOPWORDS = [
+    "and", "the", "of", "in", "for", "on", "at", "to", "a", "an", "services", "service", "center", "centre", "solutions", "solution",
+    "enterprises", "enterprise", "group", "holdings", "holding", "industries", "associates", "consultants", "consulting", "management", "international",
+    "national", "global", "direct", "trade", "traders", "trading", "commercial", "company", "corp", "corporation", "inc", "incorporated", "llc", "ltd", "limited",
+    "pvt", "private", "llp", "gmbh", "co", "dept", "division", "agency", "tech", "technologies", "technology", "systems", "system", "products", "production",
+    "care", "health", "medical", "clinic", "hospital", "store", "shop", "mart",
+]
 
 # Long address words and their short forms.
-ADDRESS = dict(
-    pair.split(":")
-    for pair in (
-        "apartment:apt avenue:ave boulevard:blvd box:bx building:bldg circle:cir court:ct drive:dr east:e floor:fl highway:hwy lane:ln north:n northeast:ne "
-        "northwest:nw parkway:pkwy place:pl post:po road:rd room:rm south:s southeast:se southwest:sw square:sq street:st suite:ste terrace:ter township:twp west:w"
-    ).split()
-)
+ADDRESS = {
+    "street": "st", "road": "rd", "avenue": "ave", "boulevard": "blvd", "drive": "dr", "lane": "ln", "court": "ct", "circle": "cir", "highway": "hwy",
+    "parkway": "pkwy", "suite": "ste", "apartment": "apt", "building": "bldg", "floor": "fl", "room": "rm", "terrace": "ter", "place": "pl", "square": "sq",
+    "north": "n", "south": "s", "east": "e", "west": "w", "northeast": "ne", "northwest": "nw", "southeast": "se", "southwest": "sw",
+    "township": "twp", "post": "po", "box": "bx",
+}
 
 # The legal terms of match forensics.
-FORENSIC_LEGAL = "bv co company corp corporation gmbh inc incorporated l.l.c. l.l.p. limited llc llp lp ltd pc plc pllc private pvt sa sarl".split()
+FORENSIC_LEGAL = [
+    "inc", "incorporated", "llc", "l.l.c.", "ltd", "limited", "corp", "corporation", "co", "company", "llp", "l.l.p.", "pvt", "private", "gmbh", "sa", "sarl", "bv",
+    "plc", "lp", "pc", "pllc",
+]
 
 # Long and short forms that match forensics looks for.
 FORENSIC_ADDRESS = [
@@ -33,26 +36,22 @@ FORENSIC_ADDRESS = [
 ]
 
 # States and their abbreviations.
-STATES = dict(
-    pair.split(":")
-    for pair in (
-        "alabama:al,alaska:ak,arizona:az,arkansas:ar,california:ca,colorado:co,connecticut:ct,delaware:de,florida:fl,georgia:ga,hawaii:hi,idaho:id,illinois:il,"
-        "indiana:in,iowa:ia,kansas:ks,kentucky:ky,louisiana:la,maine:me,maryland:md,massachusetts:ma,michigan:mi,minnesota:mn,mississippi:ms,missouri:mo,"
-        "montana:mt,nebraska:ne,nevada:nv,new hampshire:nh,new jersey:nj,new mexico:nm,new york:ny,north carolina:nc,north dakota:nd,ohio:oh,oklahoma:ok,"
-        "oregon:or,pennsylvania:pa,rhode island:ri,south carolina:sc,south dakota:sd,tennessee:tn,texas:tx,utah:ut,vermont:vt,virginia:va,washington:wa,"
-        "west virginia:wv,wisconsin:wi,wyoming:wy,tamil nadu:tn,maharashtra:mh,karnataka:ka,delhi:dl,gujarat:gj,uttar pradesh:up,telangana:ts,"
-        "andhra pradesh:ap,kerala:kl,west bengal:wb"
-    ).split(",")
-)
+STATES = {
+    "alabama": "al", "alaska": "ak", "arizona": "az", "arkansas": "ar", "california": "ca", "colorado": "co", "connecticut": "ct", "delaware": "de", "florida": "fl",
+    "georgia": "ga", "hawaii": "hi", "idaho": "id", "illinois": "il", "indiana": "in", "iowa": "ia", "kansas": "ks", "kentucky": "ky", "louisiana": "la", "maine": "me",
+    "maryland": "md", "massachusetts": "ma", "michigan": "mi", "minnesota": "mn", "mississippi": "ms", "missouri": "mo", "montana": "mt", "nebraska": "ne", "nevada": "nv",
+    "new hampshire": "nh", "new jersey": "nj", "new mexico": "nm", "new york": "ny", "north carolina": "nc", "north dakota": "nd", "ohio": "oh", "oklahoma": "ok",
+    "oregon": "or", "pennsylvania": "pa", "rhode island": "ri", "south carolina": "sc", "south dakota": "sd", "tennessee": "tn", "texas": "tx", "utah": "ut",
+    "vermont": "vt", "virginia": "va", "washington": "wa", "west virginia": "wv", "wisconsin": "wi", "wyoming": "wy", "tamil nadu": "tn", "maharashtra": "mh",
+    "karnataka": "ka", "delhi": "dl", "gujarat": "gj", "uttar pradesh": "up", "telangana": "ts", "andhra pradesh": "ap", "kerala": "kl", "west bengal": "wb",
+}
 
 # Abbreviations of the rank-failure taxonomy.
-ABBREVIATIONS = dict(
-    pair.split(":")
-    for pair in (
-        "st:street rd:road ave:avenue dr:drive blvd:boulevard fl:floor ste:suite apt:apartment bldg:building mfg:manufacturing intl:international natl:national "
-        "corp:corporation assoc:associates univ:university ctr:center tech:technology mgmt:management ind:industries dist:district hwy:highway sq:square"
-    ).split()
-)
+ABBREVIATIONS = {
+    "st": "street", "rd": "road", "ave": "avenue", "dr": "drive", "blvd": "boulevard", "fl": "floor", "ste": "suite", "apt": "apartment", "bldg": "building",
+    "mfg": "manufacturing", "intl": "international", "natl": "national", "corp": "corporation", "assoc": "associates", "univ": "university", "ctr": "center",
+    "tech": "technology", "mgmt": "management", "ind": "industries", "dist": "district", "hwy": "highway", "sq": "square",
+}
 
 # Spelling folds of Indic names, in order.
 INDIC_FOLDS = [

@@ -85,23 +85,25 @@ def lost_failure(pairs: DataFrame, out: str = "category") -> DataFrame:
     foreign1, foreign2 = n1.rlike(r"[^\x00-\x7F]"), n2.rlike(r"[^\x00-\x7F]")
     w1, w2 = _words_without_generic(n1), _words_without_generic(n2)
     initials = lambda a, b: (F.size(a) == 1) & (F.char_length(F.get(a, 0)) <= 4) & (F.get(a, 0) == T.acronym(b))
-    shown = lambda c: F.format_number(c, 1)
+    # The formats of the reasons.
+    sims = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else F.round(x, 1).cast("string") for x in parts])
+    versus = lambda a, b, what: F.concat(F.lit(f"{what} ('"), a, F.lit("' vs '"), b, F.lit("')"))
     steps = [
         (F.col("n_shared_keys") > 0, "OTHER", F.lit("Shared keys present")),
         ((n1 == "") | (n2 == ""), "MISSING_FIELD", F.lit("Missing or empty business name")),
         ((a1 == "") | (a2 == ""), "MISSING_FIELD", F.lit("Missing or empty business address")),
-        ((foreign1 != foreign2) | (foreign1 & foreign2 & (ns < 40)), "NON_LATIN_OR_TRANSLITERATION", F.lit("Non-Latin script or cross-script transliteration")),
-        ((nt >= 80) & (ns < 60), "TOKEN_ORDER", F.lit("Name token reordering")),
-        ((at >= 80) & (as_ < 60), "TOKEN_ORDER", F.lit("Address token reordering")),
-        (initials(w1, w2) | initials(w2, w1), "ABBREVIATION", F.lit("Acronym / initialism")),
-        (ns >= 65, "NAME_VARIATION", F.concat(F.lit("Name typo or character perturbation, name "), shown(ns))),
-        (as_ >= 65, "ADDRESS_VARIATION", F.concat(F.lit("Address variation or abbreviation, address "), shown(as_))),
-        ((ns < 40) & (as_ < 40), "ALTERNATE_BRAND_NAME", F.lit("Alternate trade name")),
+        ((foreign1 != foreign2) | (foreign1 & foreign2 & (ns < 40)), "NON_LATIN_OR_TRANSLITERATION", versus(n1, n2, "Non-Latin script or cross-script transliteration")),
+        ((nt >= 80) & (ns < 60), "TOKEN_ORDER", versus(n1, n2, "Name token reordering")),
+        ((at >= 80) & (as_ < 60), "TOKEN_ORDER", versus(a1, a2, "Address token reordering")),
+        (initials(w1, w2) | initials(w2, w1), "ABBREVIATION", versus(n1, n2, "Acronym / initialism")),
+        (ns >= 65, "NAME_VARIATION", sims("Name typo or character perturbation (Sim: ", ns, "%)")),
+        (as_ >= 65, "ADDRESS_VARIATION", sims("Address variation / abbreviation (Addr Sim: ", as_, "%, Name Sim: ", ns, "%)")),
+        ((ns < 40) & (as_ < 40), "ALTERNATE_BRAND_NAME", sims("Alternate DBA / Trade Name (Name Sim: ", ns, "%, Addr Sim: ", as_, "%)")),
     ]
     why = F.when(steps[0][0], steps[0][2])
     for condition, _, reason in steps[1:]:
         why = why.when(condition, reason)
-    return pairs.withColumns({out: _ladder([(c, k) for c, k, _ in steps], "NO_BLOCKING_RULE_HIT"), "reason": why.otherwise(F.lit("No shared blocking key generated"))})
+    return pairs.withColumns({out: _ladder([(c, k) for c, k, _ in steps], "NO_BLOCKING_RULE_HIT"), "reason": why.otherwise(sims("No shared blocking key generated (Name Sim: ", ns, "%, Addr Sim: ", as_, "%)"))})
 
 
 def acronym_match(n1: Column, n2: Column) -> Column:

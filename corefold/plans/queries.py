@@ -451,22 +451,29 @@ def truth_coverage(spark, sf_dir):
     return PR.coverage(table(spark, sf_dir, "s1"), table(spark, sf_dir, "truth"))
 
 
-@query(O.sql("SELECT t.noisy_id, t.s1_id FROM truth t WHERE t.noisy_id NOT IN (SELECT entity_id FROM pool WHERE pos % 3 > 0)"))
-def dangling_links(spark, sf_dir):
-    return PR.dangling(table(spark, sf_dir, "truth"), table(spark, sf_dir, "pool").where("pos % 3 > 0")).select("noisy_id", "s1_id")
+_EXPECTED = "expected AS (SELECT entity_id AS s1_id, replace(entity_id, 'S1-', 'S2-') AS noisy_id FROM s1 UNION ALL SELECT s1_id, noisy_id FROM truth)"
 
 
-_CLAIMS = "claims AS (SELECT s1_id, noisy_id FROM met WHERE s1_key_pos = 0)"
+@query(O.sql("SELECT e.noisy_id, e.s1_id FROM expected e WHERE e.noisy_id NOT IN (SELECT entity_id FROM pool)", _EXPECTED))
+def dangling_links(spark, sf_dir):
+    """Links to records that the pool lacks, of the truth and of a link from every record to its namesake in source 2."""
+    expected = table(spark, sf_dir, "s1").select(F.col("entity_id").alias("s1_id"), F.replace("entity_id", F.lit("S1-"), F.lit("S2-")).alias("noisy_id"))
+    return PR.dangling(expected.unionByName(table(spark, sf_dir, "truth").select("s1_id", "noisy_id")), table(spark, sf_dir, "pool")).select("noisy_id", "s1_id")
 
 
-@query(O.sql("SELECT noisy_id, count(DISTINCT s1_id) AS n_parents FROM claims GROUP BY noisy_id HAVING count(DISTINCT s1_id) > 1", O.met(CAP), _CLAIMS))
+@query(O.sql("SELECT noisy_id, count(DISTINCT s1_id) AS n_parents FROM met GROUP BY noisy_id HAVING count(DISTINCT s1_id) > 1", O.met(CAP)))
 def multi_parent_ids(spark, sf_dir):
-    return PR.multi_parent(meetings(spark, sf_dir).where("s1_key_pos = 0").select("s1_id", "noisy_id"))
+    """Pool records that more than one record has as a candidate."""
+    return PR.multi_parent(meetings(spark, sf_dir).select("s1_id", "noisy_id"))
+
 
+_NAMES = "named AS (SELECT business_name FROM s1 UNION ALL SELECT business_name FROM pool)"
 
-@query(O.sql("SELECT business_name, count(*) AS n FROM (SELECT substring(business_name, 1, 12) AS business_name FROM s1) GROUP BY 1 HAVING count(*) > 1"))
+
+@query(O.sql("SELECT business_name, count(*) AS n FROM named GROUP BY 1 HAVING count(*) > 1", _NAMES))
 def homonyms(spark, sf_dir):
-    return PR.homonyms(table(spark, sf_dir, "s1").select(F.substring("business_name", 1, 12).alias("business_name")))
+    """Names that several records of all sources have."""
+    return PR.homonyms(table(spark, sf_dir, "s1").select("business_name").unionAll(table(spark, sf_dir, "pool").select("business_name")))
 
 
 _CANDS = "cand AS (SELECT DISTINCT s1_id, noisy_id FROM met), per AS (SELECT entity_id, count(noisy_id) AS n FROM s1 LEFT JOIN cand ON s1_id = entity_id GROUP BY entity_id)"
@@ -567,15 +574,15 @@ def error_causes(spark, sf_dir):
     return TX.error_cause(marked, 0.7).groupBy("error", "category").agg(F.count("*").alias("n"))
 
 
-_SAMPLED = "entities AS (SELECT s1_id FROM (SELECT DISTINCT s1_id FROM truth) ORDER BY ((CAST(regexp_replace(s1_id, '[^0-9]', '', 'g') AS BIGINT) + 42) * 2654435761) % 1000003, s1_id LIMIT 400)"
+_SAMPLED = "entities AS (SELECT s1_id FROM (SELECT DISTINCT s1_id FROM truth) ORDER BY ((CAST(regexp_replace(s1_id, '[^0-9]', '', 'g') AS BIGINT) + 42) * 2654435761) % 1000003, s1_id LIMIT 40000)"
 
 
 @query(O.sql("SELECT s1_id, ((CAST(regexp_replace(s1_id, '[^0-9]', '', 'g') AS BIGINT) + 42) * 2654435761) % 1000 < 200 AS is_validation FROM entities", _SAMPLED))
 def entity_split(spark, sf_dir):
-    return P.split(P.sampled(table(spark, sf_dir, "truth"), 400))
+    return P.split(P.sampled(table(spark, sf_dir, "truth"), 40_000))
 
 
-def training_set(spark, sf_dir, most: int = 400, per_entity: int = 25):
+def training_set(spark, sf_dir, most: int = 40_000, per_entity: int = 25):
     """Labelled pairs of sampled entities, with their split."""
     entities = P.split(P.sampled(table(spark, sf_dir, "truth"), most))
     pairs = P.labelled(entities, table(spark, sf_dir, "truth"), B.first_k(meetings(spark, sf_dir), per_entity), table(spark, sf_dir, "s1"), table(spark, sf_dir, "pool"))
@@ -585,3 +592,6 @@ def training_set(spark, sf_dir, most: int = 400, per_entity: int = 25):
 @query()
 def training_pairs(spark, sf_dir):
     return P.summary(training_set(spark, sf_dir))
+
+
+from . import checks  # noqa: E402, F401  registers more queries
