@@ -65,7 +65,9 @@ def fingerprints(docs: DataFrame, text: str = "text", size: int = SHINGLE, seed:
 def links(fps: DataFrame) -> DataFrame:
     """Verified links ``(a, b)`` between the distinct fingerprints ``fp``; enough to connect all within two bits."""
     variants = F.array(F.lit(0).cast("long"), *[F.expr(f"shiftleft(1L, {i})") for i in range(BITS)])
-    emitted = fps.select("fp", F.explode(variants).alias("flip")).select(F.expr("fp ^ flip").alias("variant"), "fp")
+    # A fixed number of partitions: small as the fingerprints are, their 65 variants each are made on all cores.
+    spread = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    emitted = spread.select("fp", F.explode(variants).alias("flip")).select(F.expr("fp ^ flip").alias("variant"), "fp")
     # 65 members at most share a variant: all differ from it by one bit at most.
     met = emitted.groupBy("variant").agg(F.sort_array(F.collect_list("fp")).alias("ms")).where(F.size("ms") > 1)
     pairs = met.select(F.col("ms")[0].alias("b"), F.explode(F.expr("slice(ms, 2, size(ms) - 1)")).alias("a"))

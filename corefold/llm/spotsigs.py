@@ -138,7 +138,7 @@ def _prefixed(df: DataFrame, id_: str, threshold: float) -> DataFrame:
     """Each distinct set's first signatures in a global order (their hashes'): sets that are alike enough share one of them. ``part`` numbers geometric ranges of set sizes."""
     sets = with_signatures(df.select(F.col("doc_id").cast("long").alias(id_), F.col("text").cast("string").alias("text")), "text", "s").drop("text")
     sized = sets.withColumns({"s": F.sort_array("s"), "n": F.size("s")})
-    part = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
+    part = F.col("n") if threshold >= 1 else F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
     least = F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int")
     return sized.withColumns({"part": part, "prefix": F.slice("s", F.lit(1), F.col("n") - least + 1)})
 

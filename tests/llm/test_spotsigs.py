@@ -93,3 +93,10 @@ def test_search_finds_all_that_are_alike(spark):
     sets = {d: brute_set(t) for d, t in rows if d is not None}
     want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets if a % 5 == 0 or a > 499 for b in sets}
     assert got == {k: v for k, v in want.items() if v >= 0.8} and len(got) > 40
+
+
+def test_threshold_of_one_finds_equal_sets(spark):
+    rows = [(1, "the quick fox and the lazy dog of old"), (2, "the quick fox and the lazy dog of old"), (3, "a slow cat in the sun"), (4, ""), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.query_id, r.doc_id) for r in spotsigs.similar(docs, docs, 1.0).collect()}
+    assert got == {(1, 1), (1, 2), (2, 1), (2, 2), (3, 3), (4, 4), (4, 5), (5, 4), (5, 5)}
