@@ -136,13 +136,14 @@ def repeated(batch: DataFrame, history: DataFrame | None, documents: DataFrame)
     ``history`` holds earlier runs, ``documents`` the texts of both.
     """
     both = batch if history is None else batch.unionByName(history)
-    kinds, _ = scratch.table(
+    spark = documents.sparkSession
+    kinds, kinds_path = scratch.table(
         _kinds(both).withColumn("doc_id", F.col("owner.doc_id")).withColumn("owner_key", F.col("owner.text_key")).withColumn("owner_at", F.col("owner.at")).drop("owner"), "kinds"
     )
     # Anchors of more than one kind: counted by a plain aggregate, so that a frequent anchor is no single task's work.
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("n_kinds")).where("n_kinds > 1").select("anchor")
     open_kinds = kinds.join(mixed, "anchor", "left_semi")
-    windows, _ = scratch.table(_windows(documents, open_kinds), "windows")
+    windows, windows_path = scratch.table(_windows(documents, open_kinds), "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
     partly = windows.join(first, ["h1", "h2"]).where("low < doc_id").groupBy("anchor", "sig", "sig2", "before", "len").agg(F.collect_set("offset").alias("offsets"))
     # Written so that the join below shuffles both sides, which lets Spark split a kind that very many documents have.
@@ -153,6 +154,8 @@ def repeated(batch: DataFrame, history: DataFrame | None, documents: DataFrame)
         .drop("n"),
         "known",
     )
+    for path in (windows_path, kinds_path):  # all that is left to know is in ``known``
+        scratch.delete(spark, path)
     hit = batch.join(known, ["anchor", "sig", "sig2", "before", "len"]).where("owner_id < doc_id OR offsets IS NOT NULL")
     whole = F.array(F.struct(F.col("at"), F.col("len")))
     single = F.transform("offsets", lambda o: F.struct((F.col("at") + o).alias("at"), F.lit(1).alias("len")))
