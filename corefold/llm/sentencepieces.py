@@ -152,12 +152,12 @@ class Codec:
 
             self.other = sentencepiece.SentencePieceProcessor(model_proto=data)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[list[int]]:
         if self.before is not None:
             texts = [self.before.normalize_str(t) if t else t for t in texts]
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def verified(self, texts: list[str], verify: bool = True) -> list[tuple[np.ndarray, bool | None, bool | None]]:
+    def verified(self, texts: list[str], verify: bool = True) -> list[tuple[list[int], bool | None, bool | None]]:
         """(ids, parity, round trip) of each text, each over the whole text."""
         ids = self.encode(texts)
         if not verify:
@@ -168,11 +168,11 @@ class Codec:
     def decode(self, ids: list) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
-    def same(self, texts: list[str], ids: list[np.ndarray]) -> list[bool | None]:
+    def same(self, texts: list[str], ids: list[list[int]]) -> list[bool | None]:
         """Whether the sentencepiece library gives the same ids; None without ``parity``."""
         if self.other is None:
             return [None] * len(texts)
-        return [a == b.tolist() for a, b in zip(self.other.encode(texts, num_threads=THREADS), ids)]
+        return [a == b for a, b in zip(self.other.encode(texts, num_threads=THREADS), ids)]
 
 
 @lru_cache(maxsize=1)
@@ -201,7 +201,8 @@ def encoded(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str,
         for b in batches:
             for at, to, _, _ in textvec.slices(b.column(0), BATCH_BYTES):
                 texts = [t or "" for t in b.column(0).slice(at, to - at).to_pylist()]
-                ids, parity, back = zip(*codec.verified(texts, verify))
+                listed, parity, back = zip(*codec.verified(texts, verify))
+                ids = [np.array(x, np.int32) for x in listed]
                 n_bytes = [int(is_byte[x].sum()) for x in ids]
                 lengths = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 array = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
