@@ -140,21 +140,45 @@ class Codec:
     """Encodes and decodes batches with one model. It keeps nothing of the texts."""
 
     def __init__(self, data: bytes, parity: bool = True):
+        from tokenizers import pre_tokenizers
+
         self.model = Model.parse(data)
         self.tokenizer = build(self.model)
         self.before = None
-        if self.model.kind == BPE and any(kind == USER for _, _, kind in self.model.pieces):
+        # Cuts before each marker are the same cuts where a text has no run of markers, and take no search by a regex.
+        self.cuts = None if self.tokenizer.pre_tokenizer is None else (self.tokenizer.pre_tokenizer, pre_tokenizers.Split(MARK, "merged_with_next"))
+        if not self.model.charsmap and not self.model.remove_extra_spaces:
+            # What is left of the normaliser is a prefix and a replacement: on plain strings it keeps no track of each character's origin.
+            self.before, self.tokenizer.normalizer = self._marked, None
+        elif self.model.kind == BPE and any(kind == USER for _, _, kind in self.model.pieces):
             # User-defined symbols cut a text in parts; it is normalised as a whole first, so that only its start gets a marker.
-            self.before, self.tokenizer.normalizer = self.tokenizer.normalizer, None
+            self.before, self.tokenizer.normalizer = self.tokenizer.normalizer.normalize_str, None
         self.other = None
         if parity:
             import sentencepiece
 
             self.other = sentencepiece.SentencePieceProcessor(model_proto=data)
 
+    def _marked(self, text: str) -> str:
+        text = " " + text if self.model.dummy_prefix and not self.model.suffix_space else text
+        return text.replace(" ", MARK) if self.model.escape_spaces else text
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         if self.before is not None:
-            texts = [self.before.normalize_str(t) if t else t for t in texts]
+            texts = [self.before(t) if t else t for t in texts]
+        if self.cuts is None or self.tokenizer.normalizer is not None:
+            return self._encode(texts)
+        out: list = [None] * len(texts)
+        runs = [MARK * 2 in t for t in texts]
+        for cut, kind in zip(self.cuts, (True, False)):
+            mine = [i for i, r in enumerate(runs) if r == kind]
+            if mine:
+                self.tokenizer.pre_tokenizer = cut
+                for i, ids in zip(mine, self._encode([texts[i] for i in mine])):
+                    out[i] = ids
+        return out
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def verified(self, texts: list[str], verify: bool = True) -> list[tuple[list[int], bool | None, bool | None]]:
