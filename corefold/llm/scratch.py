@@ -38,10 +38,32 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Write df as Parquet in the shared folder; return it as read again, and its path."""
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write(df: DataFrame, path: str) -> DataFrame:
+    """Write df as Parquet below the shared folder; return it as read again.
+
+    Once the table is written nothing reads its shuffles again, so their files go at once and not when the driver's memory is next collected.
+    """
     spark = df.sparkSession
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def folder(spark: SparkSession, label: str) -> str:
+    """The path of a new folder that ``clear`` removes."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     _made.append(path)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return path
+
+
+def table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``write`` to a new folder; the table and its path."""
+    path = folder(df.sparkSession, label)
+    return write(df, path), path

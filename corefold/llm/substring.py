@@ -16,7 +16,6 @@ Word sequences are verified by collision-resistant digests of the words themselv
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,9 +103,9 @@ class Index:
         """Write a run of files sorted by anchor; returns it. A frequent anchor's entries go to many files."""
         run = f"{self.path}/run-{self.written:05d}"
         self.written += 1
-        entries.repartition("anchor", "doc_id").sortWithinPartitions("anchor").write.option("compression", "zstd").parquet(run)
+        found = scratch.write(entries.repartition("anchor", "doc_id").sortWithinPartitions("anchor"), run)
         self.runs.append(run)
-        return self.spark.read.schema(RUN_SCHEMA).parquet(run)
+        return found
 
     def read(self) -> DataFrame | None:
         return self.spark.read.schema(RUN_SCHEMA).parquet(*self.runs) if self.runs else None
@@ -118,7 +117,7 @@ class Index:
         whole = f"{self.path}/compact-{self.written:05d}"
         rest = [c for c in self.read().columns if c not in ("anchor", "sig", "sig2", "before", "len")]
         kept = self.read().groupBy("anchor", "sig", "sig2", "before", "len").agg(F.min(F.struct(*rest)).alias("e"))
-        kept.select("anchor", "sig", "sig2", "e.doc_id", "e.text_key", "e.at", "before", "len").repartition("anchor", "doc_id").sortWithinPartitions("anchor").write.option("compression", "zstd").parquet(whole)
+        scratch.write(kept.select("anchor", "sig", "sig2", "e.doc_id", "e.text_key", "e.at", "before", "len").repartition("anchor", "doc_id").sortWithinPartitions("anchor"), whole)
         for run in self.runs:
             scratch.delete(self.spark, run)
         self.runs = [whole]
@@ -249,7 +248,7 @@ def dedup_table(docs: DataFrame, batches: int = 2) -> DataFrame:
     """``dedup`` of a whole table as successive batches of ascending ids; their bounds are approximate quantiles of doc_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
-    index = Index(spark, f"{scratch.shared_dir(spark)}/passages-{uuid.uuid4().hex}")
+    index = Index(spark, scratch.folder(spark, "passages"))
     cuts = sorted(set(docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) or [])) if batches > 1 else []
     bounds = [None, *(int(c) for c in cuts), None]
     out = None
