@@ -173,7 +173,7 @@ def _pair_aligned(pairs: DataFrame, mine: DataFrame, found: DataFrame) -> DataFr
 def _ranked(held: DataFrame) -> DataFrame:
     """Each token's holders with their ``rank`` by id. They are dealt to ranges, counted there, and shifted by the ranges before, so that a frequent line spans many tasks."""
     order = ["k1", "k2", "e_id", "e_key"]
-    dealt, _ = scratch.table(held.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "lines-held")
+    dealt, _ = scratch.table(held.repartitionByRange(*order).distinct().withColumn("range", F.spark_partition_id()), "lines-held")
     counts = dealt.groupBy("k1", "k2", "range").agg(F.count("*").alias("n"))
     before = Window.partitionBy("k1", "k2").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # over one row for each range
     shifts, _ = scratch.table(counts.select("k1", "k2", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")), "lines-shifts")
@@ -186,8 +186,9 @@ def _settled(found: DataFrame, state: DataFrame, least: int) -> DataFrame:
     state = state.where(F.size("open") > 0).select("doc_id", "text_key", "at", "words", "done", "open")
     mine, _ = scratch.table(found.join(state.select("doc_id", "text_key"), ["doc_id", "text_key"], "left_semi").select("doc_id", "text_key", "k1", "k2", "at").distinct(), "lines-mine")
     keys = lambda s: s.select("doc_id", "text_key", F.explode("open").alias("at")).join(mine, ["doc_id", "text_key", "at"]).select("doc_id", "text_key", "k1", "k2")
-    asked = keys(state).groupBy("k1", "k2").agg(F.max("doc_id").alias("high"))
-    held = found.join(asked, ["k1", "k2"]).where("doc_id < high").select("k1", "k2", F.col("doc_id").alias("e_id"), F.col("text_key").alias("e_key")).distinct()
+    # Written first, and repeated rows are dropped behind the next shuffle, so that no task has all rows of a frequent line.
+    asked, _ = scratch.table(keys(state).groupBy("k1", "k2").agg(F.max("doc_id").alias("high")), "lines-asked")
+    held = found.join(asked, ["k1", "k2"]).where("doc_id < high").select("k1", "k2", F.col("doc_id").alias("e_id"), F.col("text_key").alias("e_key"))
     holders, _ = scratch.table(_ranked(held), "lines-holders")
     most = holders.agg(F.max("rank")).first()[0] or 0
     # An equal text aligns all lines, whatever its rank.
