@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _made: list[str] = []
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Folders that are made within go at the end; what is to stay must be written to a folder made before."""
+    paths: list[str] = []
+    token = _passing.set(paths)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in paths:
+            delete(spark, path)
 
 
 def clear(spark: SparkSession) -> int:
@@ -60,6 +77,8 @@ def folder(spark: SparkSession, label: str) -> str:
     """The path of a new folder that ``clear`` removes."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     _made.append(path)
+    if (paths := _passing.get()) is not None:
+        paths.append(path)
     return path
 
 
