@@ -7,6 +7,7 @@ it, so no family of strings collides. They pick candidates and shingles; where e
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 1 << 18
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -115,6 +117,13 @@ class Words:
         return np.diff(self.first)
 
 
+def release() -> None:
+    """Hand freed memory back to the system: Arrow's, and what the C library keeps of numpy's arrays."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(texts: pa.Array, budget: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets of the rows in them) for runs of rows of about ``budget`` bytes; a longer row is alone. Nulls count as empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -129,7 +138,7 @@ def slices(texts: pa.Array, budget: int = SLICE_BYTES) -> Iterator[tuple[int, in
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
     del data, offsets, texts
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def chunks(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -138,7 +147,7 @@ def chunks(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
         del b
-        pa.default_memory_pool().release_unused()
+        release()
 
 
 def words(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
