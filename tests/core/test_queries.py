@@ -2,6 +2,7 @@
 
 import pytest
 
+from corefold.operators import keys as K
 from corefold.plans import queries as Q
 from tests import oracle
 
@@ -28,3 +29,17 @@ def test_no_cartesian_products(spark):
     for name in ("candidates", "top_25_by_evidence", "features_44"):
         plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_plans_stay_small(spark):
+    """Nothing moves the whole expression of the keys into another node; the driver's memory grows with its plans."""
+    for name in ("candidates_train", "pass_contribution", "features_44", "feature_statistics"):
+        plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan()
+        spark.conf.set("spark.sql.maxPlanStringLength", 200_000_000)  # the views have set less
+        assert max(map(len, plan.toString().splitlines())) < 50_000, name
+    spark.conf.unset("spark.sql.maxPlanStringLength")
+
+
+def test_records_without_keys_have_no_postings(spark):
+    rows = spark.createDataFrame([("a", 1, ["k", None, "k"]), ("b", 2, []), ("c", 3, None)], "entity_id string, pos long, keys array<string>")
+    assert sorted(map(tuple, K.postings(rows).collect()), key=str) == [("a", 1, 0, "k"), ("a", 1, 1, None), ("a", 1, 2, "k")]
