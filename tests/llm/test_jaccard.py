@@ -82,3 +82,39 @@ def test_bits_differ_by_no_more_than_the_sets():
         a, b = (np.unique(rng.choice(pool, rng.integers(1, 390), replace=False)) for _ in range(2))
         x, y = (jaccard.parities(np.zeros(len(v), np.int64), v, 1).view(np.uint64) for v in (a, b))
         assert len(x) == jaccard.BITS // 64 and np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+def test_wide_bits_differ_by_no_more_than_the_sets(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], []
+    for _ in range(60):
+        pool = rng.integers(0, 2**64, 4000, np.uint64)
+        a = np.unique(rng.choice(pool, rng.integers(200, 3900), replace=False))
+        b = np.unique(np.concatenate((a[: rng.integers(1, len(a))], rng.choice(pool, rng.integers(1, 3000)))))
+        wide = [jaccard.wide_parities(np.zeros(len(v), np.int64), v, np.array([len(v)])) for v in (a, b)]
+        assert all(len(x) == k[0] and (64 * k[0] >= 2 * len(v) or (2 * len(v) <= jaccard.BITS and not k[0])) for (k, x), v in zip(wide, (a, b)))
+        rows.append([x.tolist() for _, x in wide])
+        want.append(len(np.setxor1d(a, b)))
+    got = spark.createDataFrame(rows, "widea array<long>, wideb array<long>").coalesce(1).select(jaccard._wide_differ().alias("d")).collect()
+    assert all(r.d <= w for r, w in zip(got, want)) and sum(r.d > w / 3 for r, w in zip(got, want)) > 30
+    assert spark.createDataFrame([(None, [1]), ([], [1]), ([3, 5], [6])], "widea array<long>, wideb array<long>").select(jaccard._wide_differ().alias("d")).collect() == [(0,), (0,), (0,)]
+
+
+def test_long_sets_that_are_not_alike_are_not_intersected(spark, monkeypatch):
+    rng = random.Random(3)
+    shared = [f"w{rng.randint(0, 10**6)}" for _ in range(1500)]
+    rows = [(i, " ".join([f"x{rng.randint(0, 10**6)}" for _ in range(1500)] + shared)) for i in range(6)]
+    tried, table = [], jaccard.scratch.table
+    monkeypatch.setattr(jaccard.scratch, "table", lambda df, label: (found := table(df, label), label == "near-pairs" and tried.append(found[0].count()))[0])
+    assert len(jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == 6
+    assert tried and sum(tried) == 0
+
+
+def test_near_stage_goes_through_the_balls_of_simhash(spark, monkeypatch):
+    rng = random.Random(4)
+    text = [f"w{rng.randint(0, 10**6)}" for _ in range(3000)]
+    rows = [(i, " ".join([*text[:-1], f"y{i}"])) for i in range(5)] + [(9, " ".join(reversed(text)))]
+    found, pairs = [], jaccard.ball_pairs
+    monkeypatch.setattr(jaccard, "ball_pairs", lambda base: (out := pairs(base), found.extend(out.collect()))[0])
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()) == [0, 9]
+    assert len({x for r in found for x in (r.a, r.b)}) == 5 and all(r.a < r.b for r in found)
