@@ -248,6 +248,7 @@ def dedup_table(docs: DataFrame, batches: int = 2) -> DataFrame:
     """``dedup`` of a whole table as successive batches of ascending ids; their bounds are approximate quantiles of doc_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
+    scratch.small_batches(spark)
     index = Index(spark, scratch.folder(spark, "passages"))
     cuts = sorted(set(docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) or [])) if batches > 1 else []
     bounds = [None, *(int(c) for c in cuts), None]

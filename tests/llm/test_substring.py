@@ -70,3 +70,14 @@ def test_batches_with_compaction_match_one_batch(spark, tmp_path):
 
 def test_empty_table(spark):
     assert substring.dedup_table(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_workers_get_few_texts_at_a_time(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    try:
+        docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+        assert [r.n_words for r in substring.dedup_table(docs).orderBy("doc_id").collect()] == [2, 0]
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 2000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
