@@ -268,7 +268,8 @@ def dedup(docs: DataFrame, least: int = MIN_BLOCK_WORDS, counts: tuple[str, str]
             yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64())], names=out_schema.names)
 
     packed = source.select("text", "doc_id", "row", "key").mapInArrow(pack, packed_schema)
-    gone = repeated(docs, least).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "gone")
+    # Merged, and so shuffled, at every size: a broadcast where the deletions are few would only hide what the texts take of a shuffle at size.
+    gone = repeated(docs, least).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "gone").hint("merge")
     joined = packed.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left")
     out = joined.select("gone", "packed", "doc_id", "row").mapInArrow(cut, out_schema)
     return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"row.`{c}`") for c in docs.columns if c not in counts], *[F.col(c).alias(name) for c, name in zip(("n_lines", "n_removed"), counts)])

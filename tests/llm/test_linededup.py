@@ -145,3 +145,11 @@ def test_columns_with_clashing_names_stay(spark):
 
 def test_empty_table(spark):
     assert linededup.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_texts_meet_their_deletions_by_one_plan_at_every_size(spark):
+    docs = spark.createDataFrame([(i, "one two three four five six seven eight nine") for i in range(3)], "doc_id long, text string")
+    out = linededup.dedup(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert [r.text == "" for r in out.orderBy("doc_id").collect()] == [False, True, True]
