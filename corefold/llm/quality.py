@@ -154,6 +154,8 @@ def train(texts: list[str], good: list[int], bits: int = HASH_BITS, epochs: int
     raw = np.array([model.bias + (model.weights[i] * v).sum() for i, v in rows])
     at = held if held.any() else ~held
     model.slope, model.shift = _platt(raw[at], y[at])
+    del rows, squared
+    textvec.release()  # the driver trains
     return model
 
 
