@@ -105,3 +105,21 @@ def test_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(120)
     want = Q.top_25_by_evidence(spark, SF).select("s1_id", "noisy_id", "rank").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_no_join_broadcasts_a_side_by_its_guessed_size(spark):
+    from corefold.plans import entities as E
+    from corefold.plans import queries as Q
+
+    before = {k: spark.conf.get(k, None) for k in (E.STATIC, E.MEASURED)}
+    try:
+        for k in before:
+            spark.conf.unset(k)
+        most = spark.conf.get(E.STATIC)
+        for name in ("recall_at_k", "pass_contribution", "features_serve", "feature_statistics"):
+            plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, name
+        assert spark.conf.get(E.MEASURED) == most and spark.conf.get(E.STATIC) == "-1"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
