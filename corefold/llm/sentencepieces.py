@@ -2,7 +2,7 @@
 
 The model's protobuf is parsed here; normaliser, metaspace marker, scores and byte fallback are rebuilt from it. A unigram
 model becomes a Unigram over its scores; a BPE model's merges follow from its scores: of all pairs that join to a piece,
-those of better pieces come first. Batches of whole texts are encoded on several threads. Each text's ids are compared with the sentencepiece library's
+those of better pieces come first. Batches of whole texts are encoded on as many threads as a task has cores. Each text's ids are compared with the sentencepiece library's
 (``parity``), and decoded again (``round_trip``).
 """
 
@@ -27,7 +27,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 BATCH_BYTES = 1 << 20
-THREADS = 2
+MOST_UNCUT = 100_000  # characters; merging a text in one piece takes the logarithm of its length for each
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -136,14 +136,29 @@ def build(m: Model):
     return t
 
 
+def build_decoder(m: Model):
+    """A ``tokenizers.Tokenizer`` that decodes as that of ``build`` does, but for the first space; None if pieces differ in nothing but the marker.
+
+    Its pieces hold spaces for markers, so that no decoding step goes over each of them.
+    """
+    from tokenizers import Tokenizer, decoders, models
+
+    pieces = {p.replace(MARK, " "): i for i, (p, _, _) in enumerate(m.pieces)}
+    if len(pieces) < len(m.pieces):
+        return None
+    t = Tokenizer(models.WordLevel(pieces, unk_token=""))
+    t.decoder = decoders.ByteFallback()
+    return t
+
+
 class Codec:
-    """Encodes and decodes batches with one model. It keeps nothing of the texts."""
+    """Encodes and decodes batches with one model. It keeps nothing of the texts. ``threads`` are the sentencepiece library's; the tokenizers library reads its own from the environment."""
 
-    def __init__(self, data: bytes, parity: bool = True):
+    def __init__(self, data: bytes, parity: bool = True, threads: int = 1):
         from tokenizers import pre_tokenizers
 
         self.model = Model.parse(data)
-        self.tokenizer = build(self.model)
+        self.tokenizer, self.decoder, self.threads = build(self.model), build_decoder(self.model), threads
         self.before = None
         # Cuts before each marker are the same cuts where a text has no run of markers, and take no search by a regex.
         self.cuts = None if self.tokenizer.pre_tokenizer is None else (self.tokenizer.pre_tokenizer, pre_tokenizers.Split(MARK, "merged_with_next"))
@@ -168,10 +183,12 @@ class Codec:
             texts = [self.before(t) if t else t for t in texts]
         if self.cuts is None or self.tokenizer.normalizer is not None:
             return self._encode(texts)
+        # Cutting a text costs more than merging it in one piece, unless it is long.
+        uncut = MOST_UNCUT if self.model.kind == BPE else -1
         out: list = [None] * len(texts)
-        runs = [MARK * 2 in t for t in texts]
-        for cut, kind in zip(self.cuts, (True, False)):
-            mine = [i for i, r in enumerate(runs) if r == kind]
+        ways = [2 if len(t) <= uncut else 0 if MARK * 2 in t else 1 for t in texts]
+        for way, cut in enumerate((*self.cuts, None)):
+            mine = [i for i, w in enumerate(ways) if w == way]
             if mine:
                 self.tokenizer.pre_tokenizer = cut
                 for i, ids in zip(mine, self._encode([texts[i] for i in mine])):
@@ -190,19 +207,22 @@ class Codec:
         return list(zip(ids, self.same(texts, ids), back))
 
     def decode(self, ids: list) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        if self.decoder is None:
+            return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        texts = self.decoder.decode_batch(ids, skip_special_tokens=False)
+        return [t.removeprefix(" ") for t in texts] if self.model.dummy_prefix else texts
 
     def same(self, texts: list[str], ids: list[list[int]]) -> list[bool | None]:
         """Whether the sentencepiece library gives the same ids; None without ``parity``."""
         if self.other is None:
             return [None] * len(texts)
-        return [a == b for a, b in zip(self.other.encode(texts, num_threads=THREADS), ids)]
+        return [a == b for a, b in zip(self.other.encode(texts, num_threads=self.threads), ids)]
 
 
 @lru_cache(maxsize=1)
-def _codec(data: bytes, parity: bool) -> Codec:
+def _codec(data: bytes, parity: bool, threads: int) -> Codec:
     """One codec for all tasks of a worker process."""
-    return Codec(data, parity)
+    return Codec(data, parity, threads)
 
 
 def read_model(path: str) -> bytes:
@@ -216,11 +236,12 @@ def encoded(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str,
     ``verify`` compares each text's ids with the sentencepiece library's, and the decoded ids with the text itself; else both are null. Null texts
     count as empty; texts of any length are encoded whole, in batches of about ``BATCH_BYTES`` and at least one text, and repeated rows each for itself. A text that holds the marker character decodes to a space there, as the format has it.
     """
+    threads = int(docs.sparkSession.conf.get("spark.task.cpus", "1"))  # more would take other tasks' cores, and wait on them
     schema = docs.select(*keep).schema.add("ids", DataType.fromDDL("array<int>")).add("n_bytes", "long").add("parity", "boolean").add("round_trip", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = "true", str(THREADS)
-        codec = _codec(model, verify)
+        os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = "true" if threads > 1 else "false", str(threads)
+        codec = _codec(model, verify, threads)
         is_byte = np.array([kind == BYTE for _, _, kind in codec.model.pieces])
         for b in batches:
             for at, to, _, _ in textvec.slices(b.column(0), BATCH_BYTES):

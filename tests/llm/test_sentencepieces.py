@@ -107,3 +107,23 @@ def test_not_a_model_and_empty_table(spark, data):
         sp.Model.parse(b"\x0f\x0f")
     assert sp.encoded(spark.createDataFrame([], "doc_id long, text string"), data).collect() == []
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_decoding_goes_over_no_piece_for_its_marker_and_long_texts_are_cut(data, monkeypatch):
+    from tokenizers import decoders
+
+    codec = sp.Codec(data, parity=False)
+    assert isinstance(codec.decoder.decoder, decoders.ByteFallback)
+    texts = odd_texts()
+    ids = codec.encode(texts)
+    rng = random.Random(6)
+    ids += [[rng.randrange(len(codec.model.pieces)) for _ in range(rng.randint(0, 20))] for _ in range(300)] + [[], [10**6]]
+    marker = [next(i for i, (p, _, _) in enumerate(codec.model.pieces) if p == f"<0x{b:02X}>") for b in sp.MARK.encode()]
+    ids += [marker, marker[:2], [5, *marker, 7]]
+    assert codec.decode(ids) == codec.tokenizer.decode_batch(ids, skip_special_tokens=False)
+    whole = codec.encode(texts)
+    for most in (-1, 20):
+        monkeypatch.setattr(sp, "MOST_UNCUT", most)
+        assert codec.encode(texts) == whole
+    alike = sp.Codec(_model({"▁a": -1.0, " a": -2.0, "▁": -3.0, "a": -4.0}, sp.BPE), parity=False)
+    assert alike.decoder is None and alike.decode(alike.encode(["a a"])) == ["a a"]
