@@ -9,6 +9,7 @@ those of better pieces come first. Batches of whole texts are encoded on as many
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -151,6 +152,11 @@ def build_decoder(m: Model):
     return t
 
 
+def piece_bytes(m: Model) -> dict[int, bytes]:
+    """What each piece of ``build_decoder`` adds to a text: its UTF-8, or the one byte that ``<0xNN>`` stands for."""
+    return {i: bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-Fa-f]{2}>", p) else p.replace(MARK, " ").encode() for i, (p, _, _) in enumerate(m.pieces)}
+
+
 class Codec:
     """Encodes and decodes batches with one model. It keeps nothing of the texts. ``threads`` are the sentencepiece library's; the tokenizers library reads its own from the environment."""
 
@@ -159,6 +165,7 @@ class Codec:
 
         self.model = Model.parse(data)
         self.tokenizer, self.decoder, self.threads = build(self.model), build_decoder(self.model), threads
+        self.bytes = piece_bytes(self.model) if self.decoder is not None else {}
         self.before = None
         # Cuts before each marker are the same cuts where a text has no run of markers, and take no search by a regex.
         self.cuts = None if self.tokenizer.pre_tokenizer is None else (self.tokenizer.pre_tokenizer, pre_tokenizers.Split(MARK, "merged_with_next"))
@@ -209,9 +216,16 @@ class Codec:
     def decode(self, ids: list) -> list[str]:
         if self.decoder is None:
             return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        texts = self.decoder.decode_batch(ids, skip_special_tokens=False)
+        texts = [self._joined(x) for x in ids]
         return [t.removeprefix(" ") for t in texts] if self.model.dummy_prefix else texts
 
+    def _joined(self, ids: list[int]) -> str:
+        """The pieces' bytes as one text; ids that make no UTF-8, or are none of the model's, are the library's to decode."""
+        try:
+            return b"".join(map(self.bytes.__getitem__, ids)).decode()
+        except (KeyError, UnicodeDecodeError):
+            return self.decoder.decode(list(ids), skip_special_tokens=False)
+
     def same(self, texts: list[str], ids: list[list[int]]) -> list[bool | None]:
         """Whether the sentencepiece library gives the same ids; None without ``parity``."""
         if self.other is None:

@@ -127,3 +127,18 @@ def test_decoding_goes_over_no_piece_for_its_marker_and_long_texts_are_cut(data,
         assert codec.encode(texts) == whole
     alike = sp.Codec(_model({"▁a": -1.0, " a": -2.0, "▁": -3.0, "a": -4.0}, sp.BPE), parity=False)
     assert alike.decoder is None and alike.decode(alike.encode(["a a"])) == ["a a"]
+
+
+def test_decoding_joins_bytes_as_the_library_does(data):
+    """Also of ids that make no UTF-8 and of ids that the model lacks; texts that do are not left to the library."""
+    codec = sp.Codec(data, parity=False)
+    rng = random.Random(2)
+    single = [i for i, p in enumerate(codec.model.pieces) if p[2] == sp.BYTE]
+    ids = [[rng.choice(single) if rng.random() < q else rng.randrange(len(codec.model.pieces)) for _ in range(rng.randrange(12))] for q in (0.1, 0.5, 0.9) for _ in range(2000)]
+    ids += [[], [0], [1, 2], [len(codec.model.pieces) + 5, 300]]
+    want = [t.removeprefix(" ") for t in codec.decoder.decode_batch(ids, skip_special_tokens=False)]
+    assert codec.decode(ids) == want and any("�" in t for t in want)
+    texts = odd_texts()
+    ids = codec.encode(texts)
+    codec.decoder = "unused"
+    assert codec.decode(ids) == [t.replace(sp.MARK, " ") for t in texts]
