@@ -10,6 +10,7 @@ NAMES = [
     "cohort_quality",
     "k_sensitivity",
     "match_quality",
+    "match_quality_without_credit",
     "rank_distribution",
     "rank_percentiles",
 ]
