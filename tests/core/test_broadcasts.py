@@ -8,6 +8,7 @@ SF = "/root/testdata/sf0.001"
 THRESHOLDS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
 NAMES = [
     "cohort_quality",
+    "error_causes",
     "k_sensitivity",
     "match_quality",
     "match_quality_without_credit",
