@@ -9,6 +9,7 @@ THRESHOLDS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBr
 NAMES = [
     "cohort_quality",
     "error_causes",
+    "features_kernels",
     "hard_negative_causes",
     "k_sensitivity",
     "match_quality",
