@@ -9,6 +9,7 @@ THRESHOLDS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBr
 NAMES = [
     "candidates_legacy_cap",
     "cohort_quality",
+    "decisions",
     "error_causes",
     "features_kernels",
     "hard_negative_causes",
