@@ -10,6 +10,7 @@ NAMES = [
     "candidates_legacy_cap",
     "cohort_quality",
     "decisions",
+    "decisions_with_rules",
     "error_causes",
     "features_kernels",
     "hard_negative_causes",
