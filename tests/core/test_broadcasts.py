@@ -13,6 +13,7 @@ NAMES = [
     "decisions_with_rules",
     "error_causes",
     "features_kernels",
+    "first_10_candidates",
     "hard_negative_causes",
     "k_sensitivity",
     "match_quality",
