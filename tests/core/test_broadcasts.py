@@ -7,6 +7,7 @@ from corefold.plans import queries as Q
 SF = "/root/testdata/sf0.001"
 THRESHOLDS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
 NAMES = [
+    "candidates_early_stop",
     "candidates_legacy_cap",
     "cohort_quality",
     "decisions",
