@@ -21,6 +21,7 @@ NAMES = [
     "match_quality_without_credit",
     "rank_distribution",
     "rank_percentiles",
+    "threshold_sweep",
 ]
 
 
