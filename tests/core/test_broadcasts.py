@@ -20,6 +20,7 @@ NAMES = [
     "match_quality",
     "match_quality_without_credit",
     "rank_distribution",
+    "rank_failure_modes",
     "rank_percentiles",
     "threshold_sweep",
 ]
